@@ -24,7 +24,12 @@ def latest(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
 
 
 def write_documents(documents: DataFrame, path: str, order: list[Column]) -> None:
-    """Store documents by index, one per url, the last one counting."""
+    """Store documents by index, one per url, the last one counting.
+
+    Ranges of (index, url) keep an index in neighbouring tasks: a large one is split, and the
+    number of files is about that of indexes plus tasks.
+    """
     keys = ["index_name", "url"]
     rows = latest(documents, keys, order).select("index_name", "url", "content")
-    rows.write.mode("overwrite").partitionBy("index_name").parquet(path)
+    placed = rows.repartitionByRange(*[F.col(k) for k in keys])
+    placed.write.mode("overwrite").partitionBy("index_name").parquet(path)

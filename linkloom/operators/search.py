@@ -23,21 +23,27 @@ def _by(df: DataFrame) -> list[str]:
     return ["index_name"] if "index_name" in df.columns else []
 
 
+def document_words(documents: DataFrame, mark: str | None = None) -> DataFrame:
+    """([index_name,] url, dl, term): one row per token, and one of the mark for every document."""
+    by = _by(documents)
+    split = documents.select(*by, "url", tokens(F.col("content")).alias("_t"))
+    words = F.col("_t") if mark is None else F.concat(F.array(F.lit(mark)), F.col("_t"))
+    return split.select(*by, "url", F.size("_t").cast("bigint").alias("dl"), F.explode(words).alias("term"))
+
+
+def count_words(words: DataFrame) -> DataFrame:
+    by = _by(words)
+    counted = words.groupBy(*by, "url", "dl", "term").agg(F.count(F.lit(1)).alias("tf"))
+    return counted.select(*by, "url", "term", "tf", "dl")
+
+
 def postings(documents: DataFrame) -> DataFrame:
     """([index_name,] url, term, tf, dl): how often a term stands in a document of dl tokens.
 
     Documents are one row each, so counting before the shuffle already gives the final counts and
     only postings travel, not tokens.
     """
-    by = _by(documents)
-    words = documents.select(*by, "url", tokens(F.col("content")).alias("_t")).select(
-        *by, "url", F.size("_t").cast("bigint").alias("dl"), F.explode("_t").alias("term")
-    )
-    return (
-        words.groupBy(*by, "url", "dl", "term")
-        .agg(F.count(F.lit(1)).alias("tf"))
-        .select(*by, "url", "term", "tf", "dl")
-    )
+    return count_words(document_words(documents))
 
 
 def document_lengths(documents: DataFrame) -> DataFrame:
@@ -69,7 +75,8 @@ def term_score(tf: Column, dl: Column, avgdl: Column) -> Column:
 
 
 def in_units(part: Column) -> Column:
-    return F.round(part * F.lit(UNIT)).cast("bigint")
+    # floor, as round goes through decimals and costs more than all the rest of a score
+    return F.floor(part * F.lit(UNIT) + F.lit(0.5))
 
 
 def query_terms(queries: DataFrame, keys: list[str]) -> DataFrame:
@@ -116,9 +123,9 @@ def hit_order() -> list[Column]:
 def search(documents: DataFrame, q: str, limit: int = 10, offset: int = 0) -> DataFrame:
     """(url, score) of one query over unindexed documents, best first, paged.
 
-    Two passes: one aggregate gives the corpus totals and the document frequency of every query
-    term as a single row; the second scores each document inside its own row. Nothing is shuffled
-    but the best hits.
+    One pass over the texts counts the query terms in every document and writes the counts. From
+    them come the corpus totals and document frequencies, as a single row, and the scores, each
+    within its own row. Nothing is shuffled but the best hits.
     """
     spark = documents.sparkSession
     # the terms come out of the engine's own analysis; the query is one short text
@@ -139,6 +146,7 @@ def search(documents: DataFrame, q: str, limit: int = 10, offset: int = 0) -> Da
             for i, t in enumerate(weight)
         ],
     )
+    counts = settle(counts, "counts")
     stats = counts.agg(
         F.struct(
             F.count(F.lit(1)).alias("n"),
@@ -167,39 +175,62 @@ def search_many(
 ) -> DataFrame:
     """(query_id, rank, url, score) for a table of queries (query_id, q, limit, offset[, index_name]).
 
-    Queries with the same words are scored once, so a query repeated a million times costs one.
-    ``deepest`` is the largest offset + limit, counted when not given. ``rank`` starts at 1 on the
-    first row of the page asked for.
+    Queries with the same words are scored once, under the smallest of their ids, so a query
+    repeated a million times costs one. ``deepest`` is the largest offset + limit, counted when
+    not given. ``rank`` starts at 1 on the first row of the page asked for.
     """
     by = _by(postings)
     words = F.array_join(F.array_sort(tokens(F.col("q"))), " ")
     asked = queries.select("query_id", *by, words.alias("words"), "limit", "offset")
     asked = asked.filter((F.col("words") != "") & (F.col("limit") > 0))
-    keys = [*by, "words"]
-    unique = asked.select(*keys).distinct()
-    terms = query_terms(unique.withColumn("q", F.col("words")), keys)
+    unique = asked.groupBy(*by, "words").agg(F.min("query_id").alias("scored_as"))
+    keys = [*by, "scored_as"]
+    terms = query_terms(unique.withColumnRenamed("words", "q"), keys)
     hits = score(postings, term_stats, totals, terms, keys)
     if deepest is None:
         deepest = asked.agg(F.max(F.col("limit").cast("bigint") + F.col("offset"))).first()[0] or 0
     top = numbered_between(hits, keys, hit_order(), 1, deepest, "place")
     within = (F.col("place") > F.col("offset")) & (F.col("place") <= F.col("offset") + F.col("limit"))
     return (
-        asked.join(top, keys)
+        asked.join(unique, [*by, "words"])
+        .join(top, keys)
         .filter(within)
         .select("query_id", (F.col("place") - F.col("offset")).cast("bigint").alias("rank"), "url", "score")
     )
 
 
+# the term of the posting that every document has when marked; no token is empty
+MARK = ""
+
+
+# up to this many different query words are broadcast to the scan of the texts
+FEW_WORDS = 10_000
+
+
 def search_documents(documents: DataFrame, queries: DataFrame, deepest: int | None = None) -> DataFrame:
     """``search_many`` without a stored index.
 
-    The postings of the query words are written once, since scores and statistics both need them.
+    One pass over the texts writes the postings of the query words and the length of every
+    document, since scores and statistics both need them. They are placed by url, so that scores
+    add up before they are shuffled. Words are dropped before the counting where the query words
+    are few, and after it, where only postings are left to shuffle, where they are many.
     """
     by = _by(documents)
-    lengths = document_lengths(documents)
     wanted = query_terms(queries, by).select(*by, "term")
-    small = settle(postings(documents).join(wanted, [*by, "term"], "left_semi"), "postings")
-    return search_many(queries, small, term_statistics(small), corpus_totals(lengths), deepest)
+    few = wanted.limit(FEW_WORDS + 1).count() <= FEW_WORDS
+    flags = wanted.withColumn("_wanted", F.lit(True))
+    flags = F.broadcast(flags) if few else flags
+
+    def keep(rows: DataFrame) -> DataFrame:
+        marked = rows.join(flags, [*by, "term"], "left")
+        return marked.filter(F.col("_wanted") | (F.col("term") == MARK)).drop("_wanted")
+
+    words = document_words(documents, MARK)
+    kept = count_words(keep(words)) if few else keep(count_words(words))
+    small = settle(kept.repartition("url"), "postings")
+    matches = small.filter(F.col("term") != MARK)
+    totals = corpus_totals(small.filter(F.col("term") == MARK))
+    return search_many(queries, matches, term_statistics(matches), totals, deepest)
 
 
 def replies(queries: DataFrame, hits: DataFrame) -> DataFrame:

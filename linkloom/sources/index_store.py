@@ -1,8 +1,9 @@
 """A stored inverted index: three external Parquet tables below one folder.
 
-``postings`` is partitioned by index, bucketed by url and sorted by term. All postings of a
-document share a bucket, so scores per document add up without a shuffle; a common term is spread
-over all buckets, so none is hot; and the sort lets a scan for a few terms skip row groups.
+``postings`` is bucketed by url and sorted by index and term. All postings of a document share a
+bucket, so scores per document add up without a shuffle; a common term or a large index is spread
+over all buckets, so none is hot; and the sort lets a scan for one index or a few terms skip row
+groups. The index is a column and no folder, since there may be as many indexes as sites.
 ``terms`` (document frequencies) and ``totals`` are stored with it.
 """
 
@@ -15,7 +16,6 @@ from pyspark.sql import functions as F
 
 from linkloom.functions.scalars import tokens
 from linkloom.operators import search as S
-from linkloom.session import path_exists
 
 # Up to this many distinct query words are sent to the scan as a list.
 WORD_LIST = 500
@@ -32,45 +32,47 @@ class IndexStore:
         self._attach()
 
     def _attach(self) -> None:
-        """Declare the tables over their folders; partitions already there are picked up."""
+        """Declare the tables over their folders, whose files may already be there."""
         layouts = {
             "postings": (
-                "url STRING, term STRING, tf BIGINT, dl BIGINT, index_name STRING",
-                f"CLUSTERED BY (url) SORTED BY (term) INTO {self.buckets} BUCKETS",
+                "index_name STRING, url STRING, term STRING, tf BIGINT, dl BIGINT",
+                f"CLUSTERED BY (url) SORTED BY (index_name, term) INTO {self.buckets} BUCKETS",
             ),
-            "terms": ("term STRING, df BIGINT, occurrences BIGINT, index_name STRING", ""),
-            "totals": ("n BIGINT, total BIGINT, index_name STRING", ""),
+            "terms": ("index_name STRING, term STRING, df BIGINT, occurrences BIGINT", ""),
+            "totals": ("index_name STRING, n BIGINT, total BIGINT", ""),
         }
         for part, (columns, buckets) in layouts.items():
             table = self._table(part)
             if not self.spark.catalog.tableExists(table):
                 self.spark.sql(
-                    f"CREATE TABLE {table} ({columns}) USING parquet PARTITIONED BY (index_name) "
-                    f"{buckets} LOCATION '{self.path}/{part}'"
+                    f"CREATE TABLE {table} ({columns}) USING parquet {buckets} LOCATION '{self.path}/{part}'"
                 )
-                if path_exists(self.spark, f"{self.path}/{part}"):
-                    self.spark.catalog.recoverPartitions(table)
 
     def _table(self, part: str) -> str:
         return f"{self.name}_{part}"
 
     def _replace(self, part: str, df: DataFrame) -> None:
-        """Overwrite the partitions that the rows belong to."""
         order = self.spark.table(self._table(part)).columns
-        self.spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
         df.select(*order).write.mode("overwrite").insertInto(self._table(part))
 
     def build(self, documents: DataFrame) -> None:
-        """(Re)build the indexes that the documents (index_name, url, content) belong to.
+        """Build the store from documents (index_name, url, content), one per index and url.
 
-        Documents are placed by url once; counting terms and writing buckets need no other shuffle.
+        Documents are placed by url once; counting terms and writing buckets need no other
+        shuffle. Texts are read and split once: the statistics come from the stored postings, and
+        the number of documents needs no text.
         """
         placed = documents.select("index_name", "url", "content").repartition(self.buckets, "url")
         rows = S.postings(placed).sortWithinPartitions("index_name", "term")
         self._replace("postings", rows)
         self._replace("terms", S.term_statistics(self.postings()))
+        written = self.term_stats().groupBy("index_name").agg(F.sum("occurrences").alias("total"))
         # documents without any token have no postings but still count
-        self._replace("totals", S.corpus_totals(S.document_lengths(documents)))
+        counted = documents.groupBy("index_name").agg(F.count(F.lit(1)).alias("n"))
+        totals = counted.join(written, "index_name", "left").withColumn(
+            "total", F.coalesce("total", F.lit(0)).cast("bigint")
+        )
+        self._replace("totals", totals)
 
     def postings(self) -> DataFrame:
         return self.spark.table(self._table("postings"))
