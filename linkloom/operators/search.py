@@ -89,12 +89,18 @@ def query_terms(queries: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def score(
-    postings: DataFrame, term_stats: DataFrame, totals: DataFrame, terms: DataFrame, keys: list[str]
+    postings: DataFrame,
+    term_stats: DataFrame,
+    totals: DataFrame,
+    terms: DataFrame,
+    keys: list[str],
+    few_terms: bool = False,
 ) -> DataFrame:
     """(keys, url, score): documents holding any term of a query, by BM25.
 
-    Only query terms and their statistics meet the postings, so the big side is filtered in its
-    scan where the query terms are few enough to broadcast. The sum is partial before its shuffle.
+    Only query terms and their statistics meet the postings. ``few_terms`` says that the caller
+    counted them and they may be broadcast; otherwise Spark sizes the join, and splits the rows of a
+    very common term. The sum is partial before its shuffle.
     """
     by = _by(postings)
     weighted = terms.join(term_stats.select(*by, "term", "df"), [*by, "term"])
@@ -108,6 +114,8 @@ def score(
         (F.col("qtf") * idf(F.col("n"), F.col("df"))).alias("weight"),
         (F.col("total") / F.col("n")).alias("avgdl"),
     )
+    if few_terms:
+        weighted = F.broadcast(weighted)
     part = F.col("weight") * term_score(F.col("tf"), F.col("dl"), F.col("avgdl"))
     return (
         postings.join(weighted, [*by, "term"]).groupBy(*keys, "url").agg(
@@ -186,9 +194,12 @@ def search_many(
     unique = asked.groupBy(*by, "words").agg(F.min("query_id").alias("scored_as"))
     keys = [*by, "scored_as"]
     terms = query_terms(unique.withColumnRenamed("words", "q"), keys)
-    hits = score(postings, term_stats, totals, terms, keys)
-    if deepest is None:
-        deepest = asked.agg(F.max(F.col("limit").cast("bigint") + F.col("offset"))).first()[0] or 0
+    deepest_asked, term_count = asked.agg(
+        F.coalesce(F.max(F.col("limit").cast("bigint") + F.col("offset")), F.lit(0)),
+        F.coalesce(F.sum(F.size(F.split("words", " "))), F.lit(0)),
+    ).first()
+    hits = score(postings, term_stats, totals, terms, keys, term_count <= FEW_TERMS)
+    deepest = deepest_asked if deepest is None else deepest
     top = numbered_between(hits, keys, hit_order(), 1, deepest, "place")
     within = (F.col("place") > F.col("offset")) & (F.col("place") <= F.col("offset") + F.col("limit"))
     return (
@@ -199,6 +210,8 @@ def search_many(
     )
 
 
+# the number of query terms, over all queries, that may be broadcast to the postings
+FEW_TERMS = 500_000
 # the term of the posting that every document has when marked; no token is empty
 MARK = ""
 
