@@ -47,6 +47,7 @@ def sign_up(requests: DataFrame, users: DataFrame, as_of: Column, first_id: Colu
     The smallest message id wins an email within the batch; an email already taken or lost to
     another request is refused. A winner gets the next user id and a one-day token.
     """
+    requests = requests.select("message_id", "email", "password", "name")
     whole = F.col("email").isNotNull() & F.col("password").isNotNull() & F.col("name").isNotNull()
     open_emails = (
         requests.filter(whole)
@@ -142,7 +143,8 @@ def check_sessions(requests: DataFrame, tokens: DataFrame, users: DataFrame, as_
     """
     known = _one_per(tokens, "token", "id", "user_id", "expire_date")
     shown = users.select("id", "email", "name", "created_date", "last_login_date")
-    joined = requests.join(known, "token", "left").join(shown, F.col("user_id") == F.col("id"), "left")
+    asked = requests.select("message_id", "token").join(known, "token", "left")
+    joined = asked.join(shown, F.col("user_id") == F.col("id"), "left")
     valid = F.coalesce(still_valid(F.col("expire_date"), as_of), F.lit(False))
     message = (
         F.when(F.col("token").isNull(), F.lit(FORBIDDEN))
@@ -175,7 +177,8 @@ def index_requests(requests: DataFrame, tokens: DataFrame, stats: DataFrame, as_
     """
     known = _one_per(tokens, "token", "id", "user_id")
     fresh = fresh_domains(stats, as_of).withColumn("_fresh", F.lit(True))
-    joined = requests.join(known, "token", "left").join(fresh, "domain", "left")
+    asked = requests.select("message_id", "token", "domain")
+    joined = asked.join(known, "token", "left").join(fresh, "domain", "left")
     outcome = (
         F.when(F.col("token").isNull(), F.lit(FORBIDDEN))
         .when(F.col("domain").isNull(), F.lit(MISSING))
@@ -191,6 +194,7 @@ def crawl_stats_of(requests: DataFrame, tokens: DataFrame, stats: DataFrame) ->
     the author a token belongs to."""
     known = _one_per(tokens, "token", "id", "user_id")
     first = _one_per(stats, "author_id", "domain", "domain", "time", "pages_count")
-    return requests.join(known, "token").join(first, F.col("user_id") == F.col("author_id")).select(
+    asked = requests.select("message_id", "token")
+    return asked.join(known, "token").join(first, F.col("user_id") == F.col("author_id")).select(
         "message_id", "domain", "author_id", "time", "pages_count"
     )

@@ -41,7 +41,9 @@ def step_counter(key: str, key_type: str, step: int):
             after = before + sum(int(part["n"].sum()) for part in rows)
             self._count.update((after,))
             reached = range((before // step + 1) * step, after + 1, step)
-            yield pd.DataFrame({key: [keys[0]] * len(reached), "n": list(reached)})
+            # plain objects: Arrow-backed text columns of pandas do not fit the state runner
+            named = pd.Series([keys[0]] * len(reached), dtype=object)
+            yield pd.DataFrame({key: named, "n": pd.Series(reached, dtype="int64")})
 
         def close(self) -> None:
             pass
@@ -59,7 +61,8 @@ def count_steps(stream: DataFrame, key: str, step: int = STEP) -> DataFrame:
 
     def partial(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
-            yield part.groupby(key, dropna=False).size().reset_index(name="n")
+            counted = part.groupby(key, dropna=False).size().reset_index(name="n")
+            yield counted.astype({key: object})
 
     processor, out = step_counter(key, key_type, step)
     return (
