@@ -4,18 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from linkloom.functions.html import hrefs
-from linkloom.operators.links import (
-    LINK_STOPS,
-    PAGE_STOPS,
-    contains_any,
-    in_site,
-)
 from linkloom.functions.urls import url_join
+from linkloom.operators.links import LINK_STOPS, PAGE_STOPS, contains_any, in_site
 from linkloom.session import settle, work_path
 
 
@@ -56,11 +51,14 @@ def reach(
             match = match & (F.col("root") == F.col("_edge_root"))
         found = level.join(edges, match).select("root", target.alias("url"))
         found = found.filter(F.col("url").isNotNull()).distinct()
-        seen = spark.read.schema(schema).parquet(*[f"{folder}/depth={d}" for d in range(depth + 1)])
+        # the whole folder as it is now: all levels so far
+        seen = spark.read.schema(schema).parquet(folder)
         fresh = found.join(seen, ["root", "url"], "left_anti")
+        size = Observation()
         depth += 1
-        fresh.write.parquet(f"{folder}/depth={depth}")
-        if spark.read.schema(schema).parquet(f"{folder}/depth={depth}").isEmpty():
+        # the count comes with the write, without another job
+        fresh.observe(size, F.count(F.lit(1)).alias("urls")).write.parquet(f"{folder}/depth={depth}")
+        if size.get["urls"] == 0:
             break
     levels = spark.read.schema(StructType(schema.fields + [StructField("depth", IntegerType())])).parquet(folder)
     return levels.select("root", "url", "depth")

@@ -54,7 +54,10 @@ def lookup_many(df: DataFrame, keys: DataFrame, on: list[str], order: list[Colum
 def slice_rows(
     df: DataFrame, order: list[str], start: int = 0, stop: int | None = None, step: int = 1
 ) -> DataFrame:
-    """Python's ``rows[start:stop:step]`` over the rows in the given column order."""
+    """Python's ``rows[start:stop:step]`` over the rows in the given column order.
+
+    The order columns must be a key: unique and not null.
+    """
     if step < 1:
         raise ValueError("the step of a slice must be positive")
     if start < 0 or (stop is not None and stop < 0):
@@ -66,13 +69,14 @@ def slice_rows(
     columns = [F.col(c) for c in order]
     if step == 1 and stop is not None and stop <= TOP_ROWS:
         return df.orderBy(*columns).offset(start).limit(stop - start)
-    ranked = running_number(df, [], columns, "_place")
-    kept = ranked.filter(F.col("_place") > start)
+    # only the order columns are numbered; whole rows meet the wanted numbers once
+    ranked = running_number(df.select(*order), [], columns, "_place")
+    wanted = ranked.filter(F.col("_place") > start)
     if stop is not None:
-        kept = kept.filter(F.col("_place") <= stop)
+        wanted = wanted.filter(F.col("_place") <= stop)
     if step > 1:
-        kept = kept.filter((F.col("_place") - 1 - start) % step == 0)
-    return kept.drop("_place")
+        wanted = wanted.filter((F.col("_place") - 1 - start) % step == 0)
+    return df.join(wanted.select(*order), order, "left_semi")
 
 
 def item_at(df: DataFrame, order: list[str], index: int) -> DataFrame:

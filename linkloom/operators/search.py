@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from linkloom.functions.scalars import tokens
+from linkloom.functions.scalars import encode_body, tokens
 from linkloom.operators.ranks import numbered_between
 from linkloom.session import settle
 
@@ -260,3 +260,9 @@ def replies(queries: DataFrame, hits: DataFrame) -> DataFrame:
         "offset",
         F.coalesce("urls", F.array().cast("array<string>")).alias("urls"),
     )
+
+
+def reply_bodies(replies: DataFrame) -> DataFrame:
+    """(query_id, body): replies as JSON texts."""
+    fields = {n: F.col(n) for n in ("request", "limit", "offset", "urls")}
+    return replies.select("query_id", encode_body(**fields).alias("body"))

@@ -56,8 +56,18 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def work_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_folder(spark)}/linkloom/{label}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder, in the part that belongs to this application."""
+    return f"{_own_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def _own_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/linkloom/{spark.sparkContext.applicationId}"
+
+
+def clear_work(spark: SparkSession) -> None:
+    """Delete the intermediate tables of this application, once their results are not needed."""
+    fs, target = _hadoop(spark, _own_folder(spark))
+    fs.delete(target, True)
 
 
 def settle(df: DataFrame, label: str) -> DataFrame:

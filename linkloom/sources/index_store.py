@@ -22,13 +22,16 @@ WORD_LIST = 500
 
 
 class IndexStore:
-    def __init__(self, spark: SparkSession, name: str, path: str, buckets: int = 64):
+    def __init__(self, spark: SparkSession, name: str, path: str, buckets: int | None = None):
+        """``buckets`` is how many tasks read the postings, twice the cores unless given: make it
+        large for a large corpus. A store built before is opened with the number it was built with.
+        """
         if not re.fullmatch(r"[A-Za-z_][A-Za-z0-9_]*", name):
             raise ValueError("an index store is named like a table")
         self.spark = spark
         self.name = name
         self.path = path.rstrip("/")
-        self.buckets = buckets
+        self.buckets = buckets or 2 * spark.sparkContext.defaultParallelism
         self._attach()
 
     def _attach(self) -> None:

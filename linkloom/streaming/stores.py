@@ -11,6 +11,7 @@ from linkloom.functions.scalars import session_expiry
 from linkloom.operators import search as S
 from linkloom.operators.documents import latest, page_documents
 from linkloom.session import child_names
+from linkloom.sources.index_store import IndexStore
 from linkloom.sources.snapshots import SnapshotTable
 
 
@@ -34,7 +35,8 @@ class PageIndexLog:
 
     A page that comes again replaces its document: the newest (seq) document of a url counts, and
     only its postings are live. Statistics follow from what is live, so they are exact after every
-    batch. ``compact`` writes the live documents to an ``IndexStore`` when the log grows long.
+    batch. When the log grows long, ``rewrite`` keeps what is live in a new log, and ``compact``
+    builds an ``IndexStore`` of it.
     """
 
     KEYS = ["index_name", "url"]
@@ -85,5 +87,14 @@ class PageIndexLog:
         live = self.postings()
         return S.search_many(queries, live, S.term_statistics(live), self.totals(), deepest)
 
-    def compact(self, store) -> None:
+    def rewrite(self, path: str) -> "PageIndexLog":
+        """A log of the live documents only, as one batch before all others."""
+        fresh = PageIndexLog(self.spark, path)
+        live = self.live().select(*self.KEYS, "batch")
+        for part, schema in (("documents", self.DOCUMENTS), ("postings", self.POSTINGS)):
+            rows = self._log(part, schema).join(live, [*self.KEYS, "batch"], "left_semi").drop("batch")
+            rows.write.mode("overwrite").parquet(f"{fresh.path}/{part}/batch=-1")
+        return fresh
+
+    def compact(self, store: IndexStore) -> None:
         store.build(self.documents())

@@ -128,6 +128,11 @@ def test_incremental_index_equals_a_fresh_one(spark, tmp_path):
     got = sorted(map(tuple, log.search_many(asked).collect()))
     fresh = sorted(map(tuple, S.search_documents(log.documents(), asked).collect()))
     assert got == fresh and len(got) == 3
+    kept = log.rewrite(str(tmp_path / "kept"))
+    assert sorted(map(tuple, kept.search_many(asked).collect())) == got
+    late = spark.createDataFrame([("https://a.t/1", "<p>gone", 7)], "url string, html string, seq long")
+    kept.handler(lambda: site_root(F.col("url")))(late, 2)
+    assert {r["content"] for r in kept.documents().collect()} == {"gone", "join table", "", "join"}
     store = IndexStore(spark, "compacted", work_path(spark, "store"), buckets=2)
     log.compact(store)
     assert sorted(map(tuple, store.search_many(asked).collect())) == got
