@@ -11,11 +11,13 @@ from pyspark.sql import functions as F
 WHITESPACE = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
 
 # All patterns keep to what Java and RE2 both accept: no look-around, no back-references.
-COMMENT = r"<!--.*?-->"
-SCRIPT = r"<script(?:\s[^>]*)?>.*?</script\s*>"
-STYLE = r"<style(?:\s[^>]*)?>.*?</style\s*>"
+# What is never closed runs to the end of the page, as it does for a browser; this also keeps a page
+# full of openers from being searched again and again.
+COMMENT = r"<!--.*?(?:-->|\z)"
+SCRIPT = r"<script(?:\s[^>]*)?>.*?(?:</script\s*>|\z)"
+STYLE = r"<style(?:\s[^>]*)?>.*?(?:</style\s*>|\z)"
 HEAD = r"<head(?:\s[^>]*)?>.*?</head\s*>|<head(?:\s[^>]*)?>.*?<body(?:\s[^>]*)?>"
-TAG = r"<[a-z/!?][^>]*>"
+TAG = r"<[a-z/!?][^>]*(?:>|\z)"
 
 # One alternation, tried at each '<' from left to right, so whichever construct opens first wins:
 # a script inside a comment is a comment, a comment inside a script is a script.

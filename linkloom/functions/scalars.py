@@ -10,6 +10,7 @@ TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 SESSION_LIFE = "interval 1 day"
 RECRAWL_AGE = "interval 30 days"
 NOT_WORD = r"[^\p{L}\p{N}]+"
+# The address coupons lead to.
 COUPON_URL = "http://getcolor.ru/#"
 
 

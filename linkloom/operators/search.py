@@ -216,6 +216,17 @@ FEW_TERMS = 500_000
 MARK = ""
 
 
+# up to this many different query words are named in a scan, which then skips row groups
+WORD_LIST = 500
+
+
+def for_words(queries: DataFrame, postings: DataFrame) -> DataFrame:
+    """The postings a query table can need: with few words those of the words, else all."""
+    words = queries.select(F.explode(tokens(F.col("q"))).alias("t")).distinct()
+    few = [r[0] for r in words.limit(WORD_LIST + 1).collect()]
+    return postings.filter(F.col("term").isin(few)) if len(few) <= WORD_LIST else postings
+
+
 # up to this many different query words are broadcast to the scan of the texts
 FEW_WORDS = 10_000
 

@@ -14,12 +14,8 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkloom.functions.scalars import tokens
 from linkloom.operators import search as S
 
-# Up to this many distinct query words are sent to the scan as a list.
-WORD_LIST = 500
-
 
 class IndexStore:
     def __init__(self, spark: SparkSession, name: str, path: str, buckets: int | None = None):
@@ -88,12 +84,5 @@ class IndexStore:
 
     def search_many(self, queries: DataFrame, deepest: int | None = None) -> DataFrame:
         """Ranked, paged hits of a query table (query_id, q, limit, offset, index_name)."""
-        return S.search_many(
-            queries, self._for_words(queries, self.postings()), self.term_stats(), self.totals(), deepest
-        )
-
-    def _for_words(self, queries: DataFrame, postings: DataFrame) -> DataFrame:
-        """With few distinct words, name them in the scan so that it skips row groups."""
-        words = queries.select(F.explode(tokens(F.col("q"))).alias("t")).distinct()
-        few = [r[0] for r in words.limit(WORD_LIST + 1).collect()]
-        return postings.filter(F.col("term").isin(few)) if len(few) <= WORD_LIST else postings
+        wanted = S.for_words(queries, self.postings())
+        return S.search_many(queries, wanted, self.term_stats(), self.totals(), deepest)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from linkloom.functions.scalars import session_expiry
 from linkloom.operators import search as S
 from linkloom.operators.documents import latest, page_documents
-from linkloom.session import child_names
+from linkloom.session import child_names, settle
 from linkloom.sources.index_store import IndexStore
 from linkloom.sources.snapshots import SnapshotTable
 
@@ -75,17 +75,21 @@ class PageIndexLog:
         log = self._log("documents", self.DOCUMENTS)
         return log.join(self.live(), [*self.KEYS, "batch"], "left_semi").select(*self.KEYS, "content")
 
-    def postings(self) -> DataFrame:
-        log = self._log("postings", self.POSTINGS)
+    def _live_postings(self, log: DataFrame) -> DataFrame:
         live = self.live().select(*self.KEYS, "batch")
         return log.join(live, [*self.KEYS, "batch"], "left_semi").select(*self.KEYS, "term", "tf", "dl")
 
+    def postings(self) -> DataFrame:
+        return self._live_postings(self._log("postings", self.POSTINGS))
+
     def totals(self) -> DataFrame:
         return S.corpus_totals(self.live().select(*self.KEYS, "dl"))
 
     def search_many(self, queries: DataFrame, deepest: int | None = None) -> DataFrame:
-        live = self.postings()
-        return S.search_many(queries, live, S.term_statistics(live), self.totals(), deepest)
+        """Scores and statistics both need the live postings of the query words: written once."""
+        wanted = S.for_words(queries, self._log("postings", self.POSTINGS))
+        small = settle(self._live_postings(wanted), "live")
+        return S.search_many(queries, small, S.term_statistics(small), self.totals(), deepest)
 
     def rewrite(self, path: str) -> "PageIndexLog":
         """A log of the live documents only, as one batch before all others."""

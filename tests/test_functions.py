@@ -69,6 +69,9 @@ def test_html_corner_cases(spark):
         "<!-- <script> -->kept<script>dropped</script>": "kept",
         "<SCRIPT type='a'>no</SCRIPT >yes<STYLE>no</STYLE>": "yes",
         "<p>\xa0 a\xa0b 　</p>": "a\xa0b",
+        "a<!-- open <p>b": "a",
+        "a<script>var b = '<p>'": "a",
+        "a<p>b<img src='": "a b",
         "": "",
     }
     for html, text in cases.items():
