@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -23,6 +25,24 @@ def first_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFr
     return df.withColumn("_place", place).filter(F.col("_place") <= 1).drop("_place")
 
 
+# parts over which rows without a key are spread
+NULL_PARTS = 1024
+
+
+def join_keeping(rows: DataFrame, known: DataFrame, on: list[str], spread_by: str) -> DataFrame:
+    """Left join of many rows with a table that has each key at most once.
+
+    Rows with a null key match nothing, but a plain join would send all of them to one task: they
+    are spread by another column. AQE splits any other hot key, as the rows are the left side.
+    """
+    missing = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in on])
+    part = F.when(missing, F.pmod(F.hash(spread_by), F.lit(NULL_PARTS))).otherwise(F.lit(0))
+    # always 0, but not a constant to the optimizer, which would drop it from the join key
+    zero = F.pmod(F.hash(*on), F.lit(1))
+    joined = rows.withColumn("_part", part).join(known.withColumn("_part", zero), [*on, "_part"], "left")
+    return joined.drop("_part")
+
+
 def running_number(
     df: DataFrame, keys: list[str], order: list[Column], name: str = "n", partitions: int | None = None
 ) -> DataFrame:

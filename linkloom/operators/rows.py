@@ -47,8 +47,12 @@ def lookup(df: DataFrame, order: list[Column], **keys: object) -> DataFrame:
 
 
 def lookup_many(df: DataFrame, keys: DataFrame, on: list[str], order: list[Column]) -> DataFrame:
-    """The first matching row for every key of a key table."""
-    return first_per_key(df.join(keys.select(*on).distinct(), on, "left_semi"), on, order)
+    """The first matching row for every key of a key table.
+
+    Rows are reduced to the first of each key before they meet the key table: the other way round
+    all rows of a hot key would travel to one task.
+    """
+    return first_per_key(df, on, order).join(keys.select(*on).distinct(), on, "left_semi")
 
 
 def slice_rows(

@@ -1,8 +1,9 @@
 """Sign-up, login, session checks and index requests as set-wise joins.
 
 Tables follow the models USER, TOKEN and CRAWLER_STATS; the password column holds a digest.
-``as_of`` is a timestamp Column. A request side with a hot key stays the streamed side of its
-joins, where Spark splits the key; the sides joined to it are reduced to one row per key first.
+``as_of`` is a timestamp Column. The tables are joined with each other first, to one row per key, and
+then once with the requests, the large side: it is shuffled once, Spark splits a hot key in it, and
+requests without a key are spread (``join_keeping``).
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linkloom.functions.scalars import is_fresh, repeatable_id, session_expiry, still_valid
-from linkloom.operators.ranks import first_per_key, running_number
+from linkloom.operators.ranks import first_per_key, join_keeping, running_number
 from linkloom.operators.rows import upsert
 
 BAD_LOGIN = "password or email not correct"
@@ -102,17 +103,13 @@ def log_in(
     """
     known = users.select(F.col("id").alias("user_id"), "email", F.col("password").alias("_digest"))
     known = first_per_key(known, ["email", "_digest"], [F.col("user_id")])
-    asked = requests.select("message_id", "email", credential(F.col("password")).alias("_digest"))
-    matched = asked.join(known, ["email", "_digest"], "left")
     held = _one_per(tokens, "user_id", "id", "token", "id")
-    expire = session_expiry(as_of)
-    given = matched.join(held, "user_id", "left").withColumn(
-        "token",
-        F.when(
-            F.col("user_id").isNotNull(),
-            F.coalesce("token", repeatable_id(F.lit("token"), F.col("user_id"))),
-        ),
+    known = known.join(held, "user_id", "left").withColumn(
+        "token", F.coalesce("token", repeatable_id(F.lit("token"), F.col("user_id")))
     )
+    asked = requests.select("message_id", "email", credential(F.col("password")).alias("_digest"))
+    given = join_keeping(asked, known, ["email", "_digest"], "message_id")
+    expire = session_expiry(as_of)
     good = F.col("user_id").isNotNull()
     outcomes = given.select(
         "message_id",
@@ -143,8 +140,8 @@ def check_sessions(requests: DataFrame, tokens: DataFrame, users: DataFrame, as_
     """
     known = _one_per(tokens, "token", "id", "user_id", "expire_date")
     shown = users.select("id", "email", "name", "created_date", "last_login_date")
-    asked = requests.select("message_id", "token").join(known, "token", "left")
-    joined = asked.join(shown, F.col("user_id") == F.col("id"), "left")
+    known = known.join(shown, F.col("user_id") == F.col("id"), "left")
+    joined = join_keeping(requests.select("message_id", "token"), known, ["token"], "message_id")
     valid = F.coalesce(still_valid(F.col("expire_date"), as_of), F.lit(False))
     message = (
         F.when(F.col("token").isNull(), F.lit(FORBIDDEN))
@@ -178,7 +175,7 @@ def index_requests(requests: DataFrame, tokens: DataFrame, stats: DataFrame, as_
     known = _one_per(tokens, "token", "id", "user_id")
     fresh = fresh_domains(stats, as_of).withColumn("_fresh", F.lit(True))
     asked = requests.select("message_id", "token", "domain")
-    joined = asked.join(known, "token", "left").join(fresh, "domain", "left")
+    joined = join_keeping(join_keeping(asked, known, ["token"], "message_id"), fresh, ["domain"], "message_id")
     outcome = (
         F.when(F.col("token").isNull(), F.lit(FORBIDDEN))
         .when(F.col("domain").isNull(), F.lit(MISSING))
@@ -194,7 +191,7 @@ def crawl_stats_of(requests: DataFrame, tokens: DataFrame, stats: DataFrame) ->
     the author a token belongs to."""
     known = _one_per(tokens, "token", "id", "user_id")
     first = _one_per(stats, "author_id", "domain", "domain", "time", "pages_count")
-    asked = requests.select("message_id", "token")
-    return asked.join(known, "token").join(first, F.col("user_id") == F.col("author_id")).select(
+    seen = known.join(first, F.col("user_id") == F.col("author_id"))
+    return requests.select("message_id", "token").join(seen, "token").select(
         "message_id", "domain", "author_id", "time", "pages_count"
     )

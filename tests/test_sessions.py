@@ -124,3 +124,33 @@ def test_paging(spark):
     both = Q.required(rows, ["q", "limit"])
     assert both.accepted.count() == 5 and both.rejected.count() == 2
     assert rows.select(Q.token_outcome(F.col("q")).alias("o")).filter("o = 'forbidden'").count() == 1
+
+
+def test_hot_and_missing_tokens_are_split(spark):
+    """A third of the requests has one token, a third none: the final plan splits both."""
+    asked = spark.range(60000).select(
+        F.col("id").alias("message_id"),
+        F.when(F.col("id") % 3 == 0, F.lit("t1")).when(F.col("id") % 3 == 1, F.concat(F.lit("u"), F.col("id").cast("string")))
+        .alias("token"),
+    ).repartition(8)
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "16",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2000",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2000",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        checked = N.check_sessions(asked, tokens(spark), users(spark), as_of())
+        counts = {r["message"]: r["n"] for r in checked.groupBy("message").agg(F.count(F.lit(1)).alias("n")).collect()}
+        assert counts == {None: 20000, "forbidden": 20000, "token is not valid": 20000}
+        frame = N.check_sessions(asked, tokens(spark), users(spark), as_of())
+        rows = frame.collect()
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert len(rows) == 60000 and "skew=true" in plan, plan[:3000]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
