@@ -13,6 +13,8 @@ from linkloom.session import settle
 # Spark cuts a group to its first k rows before the shuffle while k stays within
 # spark.sql.optimizer.windowGroupLimitThreshold, whose default is this.
 GROUP_LIMIT = 1000
+# Beyond this many rows a sorted top-k would fill one task, so rows are numbered instead.
+TOP_ROWS = 100_000
 
 
 def first_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
@@ -49,8 +51,7 @@ def running_number(
     """``row_number()`` per key (or over all rows, without keys), never one key in one task.
 
     Rows are range-partitioned by key and order, numbered inside each partition, and lifted by
-    the sizes of the partitions before it. Sizes are at most one row per key plus one per
-    partition. ``order`` must be unique within a key. The range bounds come from a sample, so the
+    the number of rows their key has in earlier partitions. ``order`` must be unique within a key. The range bounds come from a sample, so the
     laid-out rows are written once and both uses read the same layout.
     """
     spark = df.sparkSession
@@ -63,22 +64,17 @@ def running_number(
     )
     sizes = laid.groupBy("_part", *keys).agg(F.count(F.lit(1)).alias("_size"))
     by_key = Window.partitionBy(*(keys or [F.lit(0)])).orderBy("_part")
-    before = sizes.select(
-        "_part",
-        *keys,
-        F.coalesce(
-            F.sum("_size").over(by_key.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-        ).alias("_before"),
-    )
+    earlier = F.sum("_size").over(by_key.rowsBetween(Window.unboundedPreceding, -1))
+    # only the first key of a partition can have begun before it: at most one row per partition
+    lifts = sizes.select("_part", *keys, earlier.alias("_before")).filter(F.col("_before") > 0)
+    lifts = lifts.toDF("_b_part", *[f"_b_{k}" for k in keys], "_before")
     inside = F.row_number().over(Window.partitionBy("_part", *keys).orderBy(*order))
-    numbered = laid.withColumn("_inside", inside)
-    b = before.toDF("_b_part", *[f"_b_{k}" for k in keys], "_before")
     match = F.col("_part") == F.col("_b_part")
     for k in keys:
         match = match & F.col(k).eqNullSafe(F.col(f"_b_{k}"))
-    return numbered.join(b, match).select(
-        *df.columns, (F.col("_before") + F.col("_inside")).cast("bigint").alias(name)
-    )
+    numbered = laid.withColumn("_inside", inside).join(F.broadcast(lifts), match, "left")
+    number = F.coalesce("_before", F.lit(0)) + F.col("_inside")
+    return numbered.select(*df.columns, number.cast("bigint").alias(name))
 
 
 def numbered_between(

@@ -7,10 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from linkloom.operators.ranks import first_per_key, running_number
-
-# Beyond this many rows a sorted top-k would fill one task, so slices are numbered instead.
-TOP_ROWS = 100_000
+from linkloom.operators.ranks import TOP_ROWS, first_per_key, running_number
 
 
 def condition(name: str, value: object) -> Column:
@@ -85,6 +82,10 @@ def slice_rows(
 
 def item_at(df: DataFrame, order: list[str], index: int) -> DataFrame:
     """The row at an index, or no row past the end; a negative index counts from the end."""
+    if index < -TOP_ROWS:
+        index += df.count()
+        if index < 0:
+            return df.limit(0)
     if index < 0:
         backwards = [F.col(c).desc() for c in order]
         return df.orderBy(*backwards).offset(-index - 1).limit(1)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linkloom.functions.scalars import encode_body, tokens
-from linkloom.operators.ranks import numbered_between
+from linkloom.operators.ranks import TOP_ROWS, numbered_between
 from linkloom.session import settle
 
 # Fixed values of the ranking formula.
@@ -128,6 +128,10 @@ def hit_order() -> list[Column]:
     return [F.col("score").desc(), F.col("url").asc()]
 
 
+# more different words than this are joined rather than counted in a column each
+LONG_QUERY = 32
+
+
 def search(documents: DataFrame, q: str, limit: int = 10, offset: int = 0) -> DataFrame:
     """(url, score) of one query over unindexed documents, best first, paged.
 
@@ -141,6 +145,11 @@ def search(documents: DataFrame, q: str, limit: int = 10, offset: int = 0) -> Da
     weight = {t: found.count(t) for t in dict.fromkeys(found)}
     if not weight:
         return documents.select("url", F.lit(0.0).alias("score")).limit(0)
+    if len(weight) > LONG_QUERY:
+        asked = spark.range(1).select(
+            F.col("id").alias("query_id"), F.lit(q).alias("q"), F.lit(limit).alias("limit"), F.lit(offset).alias("offset")
+        )
+        return search_documents(documents, asked).orderBy("rank").select("url", "score")
     words = documents.select("url", tokens(F.col("content")).alias("_t"))
 
     def times(term: str) -> Column:
@@ -171,7 +180,11 @@ def search(documents: DataFrame, q: str, limit: int = 10, offset: int = 0) -> Da
         )
         for i, repeats in enumerate(weight.values())
     )
-    return scored.select("url", (total / F.lit(UNIT)).alias("score")).orderBy(*hit_order()).offset(offset).limit(limit)
+    hits = scored.select("url", (total / F.lit(UNIT)).alias("score"))
+    if offset + limit > TOP_ROWS:
+        placed = numbered_between(hits, [], hit_order(), offset + 1, offset + limit, "_place")
+        return placed.orderBy("_place").select("url", "score")
+    return hits.orderBy(*hit_order()).offset(offset).limit(limit)
 
 
 def search_many(

@@ -88,6 +88,16 @@ def test_deep_pages_are_numbered_without_one_task(spark):
     assert [r["url"] for r in got] == [u for u, _ in brute(rows, "the of")]
 
 
+def test_long_query_and_deep_page(spark, monkeypatch):
+    rows = _corpus(6, 50)
+    q = " ".join(f"w{i}" for i in range(40)) + " the the"
+    assert [u for u, _ in _hits(S.search(docs(spark, rows), q, limit=9, offset=3))] == [
+        u for u, _ in brute(rows, q)][3:12]
+    monkeypatch.setattr(S, "TOP_ROWS", 5)
+    assert [u for u, _ in _hits(S.search(docs(spark, rows), "the w1", limit=9, offset=3))] == [
+        u for u, _ in brute(rows, "the w1")][3:12]
+
+
 def test_many_words_take_the_other_way(spark, monkeypatch):
     rows = _corpus(3, 40)
     asked = [(1, "the w1", 10, 0), (2, "w5 of", 10, 0)]

@@ -109,6 +109,7 @@ def test_long_slices_are_numbered(spark, monkeypatch):
     monkeypatch.setattr(R, "TOP_ROWS", 10)
     df = spark.range(1000).repartition(5)
     assert sorted(r[0] for r in R.slice_rows(df, ["id"], 700, 720).collect()) == list(range(700, 720))
+    assert R.item_at(df, ["id"], -300).first()[0] == 700 and R.item_at(df, ["id"], -2000).first() is None
 
 
 def test_running_number(spark):
