@@ -51,8 +51,9 @@ def running_number(
     """``row_number()`` per key (or over all rows, without keys), never one key in one task.
 
     Rows are range-partitioned by key and order, numbered inside each partition, and lifted by
-    the number of rows their key has in earlier partitions. ``order`` must be unique within a key. The range bounds come from a sample, so the
-    laid-out rows are written once and both uses read the same layout.
+    the number of rows their key has in earlier partitions. ``order`` must be unique within a key.
+    The range bounds come from a sample, so the laid-out rows are written once and both uses read
+    the same layout.
     """
     spark = df.sparkSession
     count = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
