@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkloom.llm import language, simhash
+from linkloom.llm import decontaminate, language, packing, simhash
 from linkloom.llm.common import named, remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -33,6 +33,43 @@ def op2_simhash(spark: SparkSession, folder: str) -> DataFrame:
         F.col("component").alias("component_id"))
 
 
+@query
+def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's tokens in sequences of 2048."""
+    return packing.pack(table(spark, folder, "documents"), carry={"doc_id": named("doc_id")})
+
+
+@query
+def op4_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """What each document shares with the benchmark."""
+    return decontaminate.search(
+        table(spark, folder, "documents"), table(spark, folder, "benchmark"), carry={"doc_id": named("doc_id")})
+
+
+ORACLES["op4_decontamination"] = r"""
+WITH dw AS (
+    SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM documents),
+bw AS (
+    SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM benchmark),
+strings AS (
+    SELECT DISTINCT item, n, array_to_string(w[i:i + n - 1], ' ') AS s
+    FROM (SELECT item, w, least(10, len(w)) AS n, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS i FROM bw WHERE len(w) > 0)),
+found AS (
+    SELECT d.r, d.i, strings.n, strings.item
+    FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM dw, (SELECT DISTINCT n FROM strings) WHERE len(w) >= n) d
+    JOIN strings ON strings.n = d.n AND strings.s = array_to_string(d.w[d.i:d.i + d.n - 1], ' ')),
+hit AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS p FROM found) GROUP BY r),
+items AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS list FROM (SELECT DISTINCT r, item FROM found) GROUP BY r)
+SELECT dw.doc_id, CAST(len(dw.w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+    CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(list, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM dw LEFT JOIN hit USING (r) LEFT JOIN items USING (r)
+"""
+
+
 @query
 def op5_language(spark: SparkSession, folder: str) -> DataFrame:
     """The language of every document, learned from labelled documents that are not held out."""
