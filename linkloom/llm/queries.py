@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkloom.llm import decontaminate, language, packing, simhash
+from linkloom.llm import decontaminate, language, packing, pii, simhash
 from linkloom.llm.common import named, remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +23,13 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@query
+def op1_pii(spark: SparkSession, folder: str) -> DataFrame:
+    """Personal data in every document: fixed patterns, and what the tagger adds."""
+    documents = table(spark, folder, "documents")
+    return pii.digest(documents, pii.fit(documents), carry={"doc_id": named("doc_id")})
+
+
 @query
 def op2_simhash(spark: SparkSession, folder: str) -> DataFrame:
     """SimHash fingerprints and the components of near duplicates, for every document."""
