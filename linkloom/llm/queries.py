@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkloom.llm import decontaminate, language, packing, pii, simhash
+from linkloom.llm import decontaminate, language, packing, pii, quality, simhash
 from linkloom.llm.common import named, remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -84,3 +84,43 @@ def op5_language(spark: SparkSession, folder: str) -> DataFrame:
     held_out = F.coalesce(remainder("doc_id", 4) == 2, F.lit(False))
     model = language.fit(documents.where(~held_out))
     return language.predict(documents, model, carry={"doc_id": named("doc_id"), "held_out": held_out})
+
+
+@query
+def op8_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """The verdict of the quality rules on every document."""
+    found = quality.judge(table(spark, folder, "documents"), carry={"doc_id": named("doc_id")})
+    return found.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+ORACLES["op8_quality"] = r"""
+WITH d AS (
+    SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+lines AS (
+    SELECT r, count(*) AS n_lines, count(*) - count(DISTINCT l) AS n_dup_lines
+    FROM (SELECT r, unnest(string_split(t, chr(10))) AS l FROM d) WHERE regexp_matches(l, '[^\x20\x09-\x0D]') GROUP BY r),
+windows AS (
+    SELECT r, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS s FROM (SELECT r, w, unnest(range(1, len(w) - 1)) AS i FROM d WHERE len(w) > 2)),
+repeats AS (
+    SELECT r, count(DISTINCT p) AS n_repeat_words FROM (
+        SELECT r, unnest(range(i, i + 3)) AS p FROM windows SEMI JOIN (SELECT r, s FROM windows GROUP BY r, s HAVING count(*) > 1) USING (r, s))
+    GROUP BY r),
+counts AS (
+    SELECT r, count(*) AS n_words, sum(length(x)) AS word_chars,
+        count(*) FILTER (lower(x) IN ({stop_words})) AS n_stop,
+        count(*) FILTER (regexp_matches(x, '\p{{Lu}}{{2}}') AND x = upper(x)) AS n_capital
+    FROM (SELECT r, unnest(w) AS x FROM d) GROUP BY r),
+m AS (
+    SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(word_chars, 0) AS word_chars,
+        len(regexp_extract_all(t, '[#*$%&|<>]')) AS n_symbols, len(regexp_extract_all(t, '[!?]')) AS n_marks,
+        coalesce(n_lines, 0) AS n_lines, coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
+        coalesce(n_stop, 0) AS n_stop, coalesce(n_capital, 0) AS n_capital
+    FROM d LEFT JOIN lines USING (r) LEFT JOIN repeats USING (r) LEFT JOIN counts USING (r)),
+f AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed, greatest(n_words, 1)::DOUBLE AS n FROM m)
+SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols,
+    n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words, base_failed,
+    NOT base_failed AND word_chars / n BETWEEN 2 AND 12 AND n_symbols / n <= 0.2 AND n_marks / n <= 1.0 AND n_capital / n <= 0.5
+        AND n_stop / n >= 0.02 AND n_repeat_words / n <= 0.5 AND n_dup_lines / greatest(n_lines, 1)::DOUBLE <= 0.3 AS kept
+FROM f
+""".format(stop_words=", ".join(f"'{w}'" for w in quality.STOP_WORDS))
