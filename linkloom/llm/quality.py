@@ -36,7 +36,7 @@ RULES = (
     Rule("symbols_per_word", most=0.2),
     Rule("marks_per_word", most=1.0),
     Rule("capital_word_ratio", most=0.5),
-    Rule("dup_line_ratio", most=0.3),
+    Rule("dup_line_ratio", most=0.5),
     Rule("repeat_word_ratio", most=0.5),
     Rule("stop_word_ratio", least=0.02),
 )

@@ -121,6 +121,6 @@ f AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_fail
 SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols,
     n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words, base_failed,
     NOT base_failed AND word_chars / n BETWEEN 2 AND 12 AND n_symbols / n <= 0.2 AND n_marks / n <= 1.0 AND n_capital / n <= 0.5
-        AND n_stop / n >= 0.02 AND n_repeat_words / n <= 0.5 AND n_dup_lines / greatest(n_lines, 1)::DOUBLE <= 0.3 AS kept
+        AND n_stop / n >= 0.02 AND n_repeat_words / n <= 0.5 AND n_dup_lines / greatest(n_lines, 1)::DOUBLE <= 0.5 AS kept
 FROM f
 """.format(stop_words=", ".join(f"'{w}'" for w in quality.STOP_WORDS))
