@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -69,3 +70,9 @@ def row_keys(first: int, count: int) -> list[int]:
 
 def broadcast_value(df: DataFrame, value):
     return df.sparkSession.sparkContext.broadcast(value)
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished steps now instead of at some later garbage collection."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkloom.llm import decontaminate, language, packing, pii, quality, simhash
+from linkloom.llm import decontaminate, language, packing, pii, quality, repeats, simhash
 from linkloom.llm.common import named, remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -86,6 +86,27 @@ def op5_language(spark: SparkSession, folder: str) -> DataFrame:
     return language.predict(documents, model, carry={"doc_id": named("doc_id"), "held_out": held_out})
 
 
+@query
+def op7_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    """What is left of every document without passages of smaller doc_ids."""
+    return repeats.keep_first(table(spark, folder, "documents")).withColumnRenamed("id", "doc_id")
+
+
+ORACLES["op7_repeats"] = r"""
+WITH d AS (
+    SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+windows AS (
+    SELECT r, doc_id, i, array_to_string(w[i:i + 12], ' ') AS s FROM (SELECT *, unnest(range(1, len(w) - 11)) AS i FROM d WHERE len(w) > 12)),
+firsts AS (SELECT s, min(doc_id) AS first FROM windows GROUP BY s),
+gone AS (
+    SELECT DISTINCT r, unnest(range(i, i + 13)) AS p FROM windows JOIN firsts USING (s) WHERE doc_id > first),
+words AS (SELECT r, unnest(range(1, len(w) + 1)) AS p, unnest(w) AS x FROM d),
+kept AS (SELECT r, count(*) AS n, string_agg(x, ' ' ORDER BY p) AS t FROM words ANTI JOIN gone USING (r, p) GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (r)
+"""
+
+
 @query
 def op8_quality(spark: SparkSession, folder: str) -> DataFrame:
     """The verdict of the quality rules on every document."""
