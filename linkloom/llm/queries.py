@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkloom.llm import decontaminate, language, packing, pii, quality, repeats, simhash
+from linkloom.llm import decontaminate, language, lm, packing, pii, quality, repeats, simhash
 from linkloom.llm.common import named, remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -86,6 +86,15 @@ def op5_language(spark: SparkSession, folder: str) -> DataFrame:
     return language.predict(documents, model, carry={"doc_id": named("doc_id"), "held_out": held_out})
 
 
+@query
+def op6_lm(spark: SparkSession, folder: str) -> DataFrame:
+    """Base and model score of every document, learned from those that are not held out."""
+    documents = table(spark, folder, "documents")
+    held_out = F.coalesce(remainder("doc_id", 10) == 0, F.lit(False))
+    model, counts = lm.fit(documents.where(~held_out))
+    return lm.score(documents, model, counts, carry={"doc_id": named("doc_id"), "held_out": held_out})
+
+
 @query
 def op7_repeats(spark: SparkSession, folder: str) -> DataFrame:
     """What is left of every document without passages of smaller doc_ids."""
