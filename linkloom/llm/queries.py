@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkloom.llm import decontaminate, language, lm, packing, pii, quality, repeats, simhash
+from linkloom.llm import decontaminate, html_content, language, lm, packing, pii, quality, repeats, simhash
 from linkloom.llm.common import named, remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -154,3 +154,9 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_s
         AND n_stop / n >= 0.02 AND n_repeat_words / n <= 0.5 AND n_dup_lines / greatest(n_lines, 1)::DOUBLE <= 0.5 AS kept
 FROM f
 """.format(stop_words=", ".join(f"'{w}'" for w in quality.STOP_WORDS))
+
+
+@query
+def op9_html(spark: SparkSession, folder: str) -> DataFrame:
+    """The main text of every page."""
+    return html_content.extract(table(spark, folder, "pages"), carry={"page_id": named("page_id"), "url": named("url")})
