@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkloom.llm import decontaminate, html_content, language, lm, packing, pii, quality, repeats, simhash
+from linkloom.llm import decontaminate, html_content, language, lm, packing, pii, quality, repeats, secrets, simhash
 from linkloom.llm.common import named, remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -160,3 +160,11 @@ FROM f
 def op9_html(spark: SparkSession, folder: str) -> DataFrame:
     """The main text of every page."""
     return html_content.extract(table(spark, folder, "pages"), carry={"page_id": named("page_id"), "url": named("url")})
+
+
+@query
+def op10_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    """Every candidate for a secret in the documents, with the forest's verdict; the secret itself as a digest."""
+    forest = secrets.Forest.fit(secrets.features(secrets.labelled_findings(spark)))
+    found = secrets.scan(table(spark, folder, "documents"), forest, carry={"doc_id": named("doc_id")})
+    return found.select("doc_id", "start", "stop", "kind", F.sha2("candidate", 256).alias("candidate_sha256"), "score", "is_secret")
