@@ -216,7 +216,7 @@ def fit(training: DataFrame, text_column: str = "text", head: int = HEAD) -> tup
     texts = training.select(named(text_column).cast("binary").alias("text"))
     counts = settle(count_words(texts), "word-counts")
     release(training.sparkSession)
-    top = [(bytes(r.word), r.n) for r in counts.orderBy(F.desc("n"), "word").limit(head).collect()]
+    top = _most_frequent(counts, head)
     frequent = [w for w, _ in top[:OWN]]
     own = training.sparkSession.createDataFrame([(bytearray(w), k) for w, k in Classes(frequent).own.items()], "word binary, own int")
     # OWN rows, so the join is a lookup; classes by hash are those of the tasks, the same CRC-32
@@ -230,6 +230,25 @@ def fit(training: DataFrame, text_column: str = "text", head: int = HEAD) -> tup
     return model, counts
 
 
+def _most_frequent(counts: DataFrame, head: int) -> list[tuple[bytes, int]]:
+    """The most frequent words, at most ``head``, by falling count.
+
+    Counts fall into eighths of powers of two (some hundred classes); as many whole classes from the top are
+    taken as fit. Only these words reach the driver, however many tasks there are.
+    """
+    level = F.floor(F.log2("n") * 8)
+    sizes = sorted((r.level, r.words) for r in counts.groupBy(level.alias("level")).agg(F.count(F.lit(1)).alias("words")).collect())
+    least, held = None, 0
+    for at, words in reversed(sizes):
+        if held + words > head:
+            break
+        least, held = at, held + words
+    if least is None:
+        return []
+    found = counts.where(level >= least).collect()
+    return sorted(((bytes(r.word), r.n) for r in found), key=lambda w: (-w[1], w[0]))
+
+
 def score(df: DataFrame, model: Model, counts: DataFrame, text_column: str = "text", carry: dict[str, Column] | None = None) -> DataFrame:
     """``n_tokens``, ``n_known``, ``base_score``, ``score`` (log10) of every row, with what ``carry`` names.
 
