@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from html.entities import name2codepoint
+from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -16,7 +16,7 @@ WHITESPACE = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
 COMMENT = r"<!--.*?(?:-->|\z)"
 SCRIPT = r"<script(?:\s[^>]*)?>.*?(?:</script\s*>|\z)"
 STYLE = r"<style(?:\s[^>]*)?>.*?(?:</style\s*>|\z)"
-HEAD = r"<head(?:\s[^>]*)?>.*?</head\s*>|<head(?:\s[^>]*)?>.*?<body(?:\s[^>]*)?>"
+HEAD = r"<head(?:\s[^>]*)?>.*?(?:</head\s*>|<body(?:\s[^>]*)?>|\z)"
 TAG = r"<[a-z/!?][^>]*(?:>|\z)"
 
 # One alternation, tried at each '<' from left to right, so whichever construct opens first wins:
@@ -27,11 +27,16 @@ NOT_CONTENT = f"(?is){COMMENT}|{SCRIPT}|{STYLE}"
 FIRST_SCRIPT = r"(?is)^(.*?)<script(?:\s[^>]*)?>.*?</script\s*>(.*)$"
 HEAD_ONLY = f"(?is){HEAD}"
 
-ANCHOR_HREF = r"""(?is)<a\s(?:[^>]*?\s)?href\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)"""
-CHARACTER_REFERENCE = r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[A-Za-z][A-Za-z0-9]*;)"
+# a page is cut into anchor tags first, each character looked at once; the href is read inside its short tag
+ANCHOR_TAG = r"(?is)<a\s[^<>]*"
+HREF = r"""(?is)^<a\s(?:[^>]*?\s)?href\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)"""
+CHARACTER_REFERENCE = r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[A-Za-z][A-Za-z0-9]{0,31};?)"
 
-# the named references of HTML 4, as the standard library lists them
-NAMED_REFERENCES = "\x01".join(f"{name}\x02{chr(point)}" for name, point in name2codepoint.items())
+# the named references of HTML 5, as the standard library lists them; the old ones also count without their
+# semicolon, and then with whatever letters follow
+NAMED_REFERENCES = "\x01".join(f"{name}\x02{text}" for name, text in html5.items() if name.endswith(";"))
+OLD_REFERENCES = "\x01".join(f"{name}\x02{text}" for name, text in html5.items() if not name.endswith(";"))
+OLD_NAMES = "^&(" + "|".join(sorted((n for n in html5 if not n.endswith(";")), key=lambda n: (-len(n), n))) + ")(.*)$"
 
 
 def _code_point(n: Column) -> Column:
@@ -41,10 +46,11 @@ def _code_point(n: Column) -> Column:
 
 
 def _reference_value(ref: Column) -> Column:
-    # one constant text instead of hundreds of literals keeps the plan small
-    named = F.str_to_map(F.lit(NAMED_REFERENCES), F.lit("\x01"), F.lit("\x02"))
+    # constant texts instead of thousands of literals keep the plan small
+    named, old = (F.str_to_map(F.lit(t), F.lit("\x01"), F.lit("\x02")) for t in (NAMED_REFERENCES, OLD_REFERENCES))
     digits = F.regexp_extract(ref, r"^&#([0-9]+);?$", 1)
     hexits = F.regexp_extract(ref, r"^&#[xX]([0-9a-fA-F]+);?$", 1)
+    old_name = F.regexp_extract(ref, OLD_NAMES, 1)
     return (
         F.when(ref == "&amp;", F.lit("&"))
         .when(ref == "&lt;", F.lit("<"))
@@ -54,7 +60,10 @@ def _reference_value(ref: Column) -> Column:
         .when(digits != "", _code_point(digits.try_cast("bigint")))
         .when((hexits != "") & (F.length(hexits) <= 8),
               _code_point(F.conv(hexits, 16, 10).try_cast("bigint")))
-        .otherwise(F.try_element_at(named, F.regexp_extract(ref, "^&([A-Za-z0-9]+);$", 1)))
+        .otherwise(F.coalesce(
+            F.try_element_at(named, F.substr(ref, F.lit(2))),
+            F.concat(F.try_element_at(old, old_name), F.regexp_extract(ref, OLD_NAMES, 2)),
+        ))
     )
 
 
@@ -100,7 +109,8 @@ def html_text(html: Column, first_only: bool = False) -> Column:
 def hrefs(html: Column) -> Column:
     """Distinct href values of the page's anchors; an empty page has none."""
     content = F.regexp_replace(html, NOT_CONTENT, "<p>")
-    raw = F.regexp_extract_all(content, F.lit(ANCHOR_HREF), F.lit(1))
+    tags = F.regexp_extract_all(content, F.lit(ANCHOR_TAG), F.lit(0))
+    raw = F.filter(F.transform(tags, lambda tag: F.regexp_extract(tag, HREF, 1)), lambda v: v != "")
     quoted = lambda v: F.substr(v, F.lit(1), F.lit(1)).isin('"', "'")
     plain = F.transform(
         raw,

@@ -13,8 +13,8 @@ from linkloom.session import settle
 # Spark cuts a group to its first k rows before the shuffle while k stays within
 # spark.sql.optimizer.windowGroupLimitThreshold, whose default is this.
 GROUP_LIMIT = 1000
-# Beyond this many rows a sorted top-k would fill one task, so rows are numbered instead.
-TOP_ROWS = 100_000
+# Beyond this many rows a sorted top-k would fill one task, so rows are numbered instead: the same rows in the same order.
+TOP_ROWS = 10_000
 
 
 def first_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:

@@ -30,22 +30,22 @@ def required(df: DataFrame, names: list[str]) -> Checked:
 
 
 def lenient_paging(df: DataFrame, q: str = "q", limit: str = "limit", offset: str = "offset") -> Checked:
-    """Missing or unreadable paging falls back to 10 and 0; a request needs only its query."""
+    """Missing, unreadable or negative paging falls back to 10 and 0; a request needs only its query."""
     read = df.withColumns({
-        limit: F.coalesce(F.col(limit).try_cast("int"), F.lit(DEFAULT_LIMIT)),
-        offset: F.coalesce(F.col(offset).try_cast("int"), F.lit(DEFAULT_OFFSET)),
+        name: F.coalesce(F.when(F.col(name).try_cast("bigint") >= 0, F.col(name).try_cast("bigint")), F.lit(usual).cast("bigint"))
+        for name, usual in ((limit, DEFAULT_LIMIT), (offset, DEFAULT_OFFSET))
     })
     asked = F.col(q).isNotNull()
     return Checked(read.filter(asked), read.filter(~asked).withColumn("reason", F.lit("missing parameter")))
 
 
 def strict_paging(df: DataFrame, q: str = "q", limit: str = "limit", offset: str = "offset") -> Checked:
-    """All three parameters are needed, paging must be whole numbers, at most 100 hits."""
-    numbers = {n: F.col(n).try_cast("int") for n in (limit, offset)}
+    """All three parameters are needed, paging must be whole numbers from 0, at most 100 hits."""
+    numbers = {n: F.col(n).try_cast("bigint") for n in (limit, offset)}
     reason = (
         F.when(~all_present([q, limit, offset]), F.lit("missing parameter"))
         .when(numbers[limit].isNull() | numbers[offset].isNull(), F.lit("bad value"))
-        .when(numbers[limit] > LARGEST_LIMIT, F.lit("bad value"))
+        .when((numbers[limit] > LARGEST_LIMIT) | (numbers[limit] < 0) | (numbers[offset] < 0), F.lit("bad value"))
     )
     judged = df.withColumn("reason", reason)
     return Checked(

@@ -46,18 +46,19 @@ def lookup(df: DataFrame, order: list[Column], **keys: object) -> DataFrame:
 def lookup_many(df: DataFrame, keys: DataFrame, on: list[str], order: list[Column]) -> DataFrame:
     """The first matching row for every key of a key table.
 
-    Rows are reduced to the first of each key before they meet the key table: the other way round
-    all rows of a hot key would travel to one task.
+    The key table goes first: where it is small, Spark sends it to the scan and only wanted rows are left; where
+    it is not, AQE splits a hot key. Each task then keeps its first row of a key before the shuffle.
     """
-    return first_per_key(df, on, order).join(keys.select(*on).distinct(), on, "left_semi")
+    return first_per_key(df.join(keys.select(*on).distinct(), on, "left_semi"), on, order)
 
 
 def slice_rows(
     df: DataFrame, order: list[str], start: int = 0, stop: int | None = None, step: int = 1
 ) -> DataFrame:
-    """Python's ``rows[start:stop:step]`` over the rows in the given column order.
+    """Python's ``rows[start:stop:step]`` over the rows in the given column order, and in that order.
 
-    The order columns must be a key: unique and not null.
+    The order columns must be a key: unique and not null. ``TOP_ROWS`` chooses the plan, never the rows or
+    their order.
     """
     if step < 1:
         raise ValueError("the step of a slice must be positive")
@@ -68,6 +69,8 @@ def slice_rows(
     if stop is not None and stop <= start:
         return df.limit(0)
     columns = [F.col(c) for c in order]
+    if step == 1 and start == 0 and stop is None:
+        return df.orderBy(*columns)
     if step == 1 and stop is not None and stop <= TOP_ROWS:
         return df.orderBy(*columns).offset(start).limit(stop - start)
     # only the order columns are numbered; whole rows meet the wanted numbers once
@@ -77,7 +80,7 @@ def slice_rows(
         wanted = wanted.filter(F.col("_place") <= stop)
     if step > 1:
         wanted = wanted.filter((F.col("_place") - 1 - start) % step == 0)
-    return df.join(wanted.select(*order), order, "left_semi")
+    return df.join(wanted.select(*order), order, "left_semi").orderBy(*columns)
 
 
 def item_at(df: DataFrame, order: list[str], index: int) -> DataFrame:

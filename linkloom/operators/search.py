@@ -23,27 +23,23 @@ def _by(df: DataFrame) -> list[str]:
     return ["index_name"] if "index_name" in df.columns else []
 
 
-def document_words(documents: DataFrame, mark: str | None = None) -> DataFrame:
-    """([index_name,] url, dl, term): one row per token, and one of the mark for every document."""
-    by = _by(documents)
-    split = documents.select(*by, "url", tokens(F.col("content")).alias("_t"))
-    words = F.col("_t") if mark is None else F.concat(F.array(F.lit(mark)), F.col("_t"))
-    return split.select(*by, "url", F.size("_t").cast("bigint").alias("dl"), F.explode(words).alias("term"))
-
-
-def count_words(words: DataFrame) -> DataFrame:
-    by = _by(words)
-    counted = words.groupBy(*by, "url", "dl", "term").agg(F.count(F.lit(1)).alias("tf"))
-    return counted.select(*by, "url", "term", "tf", "dl")
-
-
-def postings(documents: DataFrame) -> DataFrame:
+def postings(documents: DataFrame, mark: str | None = None) -> DataFrame:
     """([index_name,] url, term, tf, dl): how often a term stands in a document of dl tokens.
 
-    Documents are one row each, so counting before the shuffle already gives the final counts and
-    only postings travel, not tokens.
+    A document is one row, so its sorted words are counted in runs inside the row and nothing is shuffled.
+    ``mark`` is a term that every document has once. Rows with the same url are different documents.
     """
-    return count_words(document_words(documents))
+    by = _by(documents)
+    split = documents.select(*by, "url", F.sort_array(tokens(F.col("content"))).alias("_t"))
+    placed = split.withColumn("_at", F.when(F.size("_t") > 0, F.filter(
+        F.sequence(F.lit(0), F.size("_t") - 1), lambda i: (i == 0) | (F.get("_t", i) != F.get("_t", i - 1)))))
+    runs = F.transform("_at", lambda i, k: F.struct(
+        F.get("_t", i).alias("term"), (F.coalesce(F.get("_at", k + 1), F.size("_t")) - i).cast("bigint").alias("tf")))
+    if mark is not None:
+        own = F.array(F.struct(F.lit(mark).alias("term"), F.lit(1).cast("bigint").alias("tf")))
+        runs = F.when(F.col("_at").isNull(), own).otherwise(F.concat(own, runs))
+    counted = placed.select(*by, "url", F.size("_t").cast("bigint").alias("dl"), F.explode(runs).alias("_r"))
+    return counted.select(*by, "url", "_r.term", "_r.tf", "dl")
 
 
 def document_lengths(documents: DataFrame) -> DataFrame:
@@ -128,59 +124,31 @@ def hit_order() -> list[Column]:
     return [F.col("score").desc(), F.col("url").asc()]
 
 
-# more different words than this are joined rather than counted in a column each
-LONG_QUERY = 32
-
-
 def search(documents: DataFrame, q: str, limit: int = 10, offset: int = 0) -> DataFrame:
     """(url, score) of one query over unindexed documents, best first, paged.
 
-    One pass over the texts counts the query terms in every document and writes the counts. From
-    them come the corpus totals and document frequencies, as a single row, and the scores, each
-    within its own row. Nothing is shuffled but the best hits.
+    One pass over the texts writes the query's words found in each row; every row is a document of one corpus,
+    whatever its url. Document frequencies are as many numbers as the query has words; with them a score is
+    made inside its row. Nothing else is shuffled but the best hits. Queries of any length go this way.
     """
     spark = documents.sparkSession
     # the terms come out of the engine's own analysis; the query is one short text
     found = spark.range(1).select(tokens(F.lit(q)).alias("t")).first()[0]
     weight = {t: found.count(t) for t in dict.fromkeys(found)}
-    if not weight:
+    if not weight or limit < 1 or offset < 0:
         return documents.select("url", F.lit(0.0).alias("score")).limit(0)
-    if len(weight) > LONG_QUERY:
-        asked = spark.range(1).select(
-            F.col("id").alias("query_id"), F.lit(q).alias("q"), F.lit(limit).alias("limit"), F.lit(offset).alias("offset")
-        )
-        return search_documents(documents, asked).orderBy("rank").select("url", "score")
     words = documents.select("url", tokens(F.col("content")).alias("_t"))
-
-    def times(term: str) -> Column:
-        return F.size(F.filter("_t", lambda w: w == F.lit(term)))
-
-    counts = words.select(
-        "url",
-        F.size("_t").cast("bigint").alias("dl"),
-        *[
-            times(t).alias(f"tf{i}")
-            for i, t in enumerate(weight)
-        ],
-    )
-    counts = settle(counts, "counts")
-    stats = counts.agg(
-        F.struct(
-            F.count(F.lit(1)).alias("n"),
-            (F.sum("dl") / F.count(F.lit(1))).alias("avgdl"),
-            *[F.count_if(F.col(f"tf{i}") > 0).alias(f"df{i}") for i in range(len(weight))],
-        ).alias("s")
-    ).scalar()
-    scored = counts.filter(" OR ".join(f"tf{i} > 0" for i in range(len(weight)))).withColumn("s", stats)
-    total = sum(
-        in_units(
-            F.lit(repeats)
-            * idf(F.col("s.n"), F.col(f"s.df{i}"))
-            * term_score(F.col(f"tf{i}"), F.col("dl"), F.col("s.avgdl"))
-        )
-        for i, repeats in enumerate(weight.values())
-    )
-    hits = scored.select("url", (total / F.lit(UNIT)).alias("score"))
+    held = F.filter("_t", lambda w: w.isin(list(weight)))
+    counts = settle(words.select("url", F.size("_t").cast("bigint").alias("dl"), held.alias("held")), "counts")
+    n, total = counts.agg(F.count(F.lit(1)), F.sum("dl")).first()
+    each = counts.select(F.explode(F.array_distinct("held")).alias("t")).groupBy("t").count().collect()
+    if not each:
+        return counts.select("url", F.lit(0.0).alias("score")).limit(0)
+    priced = F.create_map(*[c for r in each for c in (F.lit(r["t"]), F.lit(weight[r["t"]]) * idf(F.lit(n), F.lit(r["count"])))])
+    avgdl = F.lit(float(total) / n)
+    units = F.aggregate(F.array_distinct("held"), F.lit(0).cast("bigint"), lambda sofar, t: sofar + in_units(
+        F.element_at(priced, t) * term_score(F.size(F.filter("held", lambda w: w == t)), F.col("dl"), avgdl)))
+    hits = counts.filter(F.size("held") > 0).select("url", (units / F.lit(UNIT)).alias("score"))
     if offset + limit > TOP_ROWS:
         placed = numbered_between(hits, [], hit_order(), offset + 1, offset + limit, "_place")
         return placed.orderBy("_place").select("url", "score")
@@ -198,12 +166,13 @@ def search_many(
 
     Queries with the same words are scored once, under the smallest of their ids, so a query
     repeated a million times costs one. ``deepest`` is the largest offset + limit, counted when
-    not given. ``rank`` starts at 1 on the first row of the page asked for.
+    not given. ``rank`` starts at 1 on the first row of the page asked for. A page with a negative offset or
+    without rows is none.
     """
     by = _by(postings)
     words = F.array_join(F.array_sort(tokens(F.col("q"))), " ")
     asked = queries.select("query_id", *by, words.alias("words"), "limit", "offset")
-    asked = asked.filter((F.col("words") != "") & (F.col("limit") > 0))
+    asked = asked.filter((F.col("words") != "") & (F.col("limit") > 0) & (F.col("offset") >= 0))
     unique = asked.groupBy(*by, "words").agg(F.min("query_id").alias("scored_as"))
     keys = [*by, "scored_as"]
     terms = query_terms(unique.withColumnRenamed("words", "q"), keys)
@@ -249,8 +218,7 @@ def search_documents(documents: DataFrame, queries: DataFrame, deepest: int | No
 
     One pass over the texts writes the postings of the query words and the length of every
     document, since scores and statistics both need them. They are placed by url, so that scores
-    add up before they are shuffled. Words are dropped before the counting where the query words
-    are few, and after it, where only postings are left to shuffle, where they are many.
+    add up before they are shuffled. Urls must be unique within an index: scores are by url.
     """
     by = _by(documents)
     wanted = query_terms(queries, by).select(*by, "term")
@@ -262,8 +230,7 @@ def search_documents(documents: DataFrame, queries: DataFrame, deepest: int | No
         marked = rows.join(flags, [*by, "term"], "left")
         return marked.filter(F.col("_wanted") | (F.col("term") == MARK)).drop("_wanted")
 
-    words = document_words(documents, MARK)
-    kept = count_words(keep(words)) if few else keep(count_words(words))
+    kept = keep(postings(documents, MARK))
     small = settle(kept.repartition("url"), "postings")
     matches = small.filter(F.col("term") != MARK)
     totals = corpus_totals(small.filter(F.col("term") == MARK))

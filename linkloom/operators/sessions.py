@@ -1,28 +1,39 @@
 """Sign-up, login, session checks and index requests as set-wise joins.
 
 Tables follow the models USER, TOKEN and CRAWLER_STATS; the password column holds a digest.
-``as_of`` is a timestamp Column. The tables are joined with each other first, to one row per key, and
+``as_of`` is a timestamp Column, by default the time of the call. A new session's token is a Column over
+``user_id``, by default a random one: what can be computed from the id could be forged. The tables are joined with each other first, to one row per key, and
 then once with the requests, the large side: it is shuffled once, Spark splits a hot key in it, and
 requests without a key are spread (``join_keeping``).
 """
 
 from __future__ import annotations
 
+import datetime as dt
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from linkloom.functions.scalars import is_fresh, repeatable_id, session_expiry, still_valid
+from linkloom.functions.scalars import is_fresh, random_id, session_expiry, still_valid
+from linkloom.operators.requests import token_outcome
 from linkloom.operators.ranks import first_per_key, join_keeping, running_number
 from linkloom.operators.rows import upsert
+from linkloom.session import settle
 
+# The texts of the outcomes.
 BAD_LOGIN = "password or email not correct"
 BAD_TOKEN = "token is not valid"
 EXPIRED = "token is expire"
 FORBIDDEN = "forbidden"
 TAKEN = "email is taken"
 MISSING = "missing parameter"
+NO_STATS = "no statistics"
+
+
+def moment(as_of: Column | None) -> Column:
+    """The time given, or the time of this call, the same for all that is made of it."""
+    return F.lit(dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)) if as_of is None else as_of
 
 
 def credential(password: Column) -> Column:
@@ -42,12 +53,20 @@ class SignUp(NamedTuple):
     new_tokens: DataFrame
 
 
-def sign_up(requests: DataFrame, users: DataFrame, as_of: Column, first_id: Column | None = None) -> SignUp:
+def sign_up(
+    requests: DataFrame,
+    users: DataFrame,
+    as_of: Column | None = None,
+    first_id: Column | None = None,
+    token: Column | None = None,
+) -> SignUp:
     """Requests (message_id, email, password, name) against the users.
 
     The smallest message id wins an email within the batch; an email already taken or lost to
-    another request is refused. A winner gets the next user id and a one-day token.
+    another request is refused. A winner gets the next user id and a one-day token. A random token is drawn once
+    and written, so that outcomes and tokens agree.
     """
+    as_of = moment(as_of)
     requests = requests.select("message_id", "email", "password", "name")
     whole = F.col("email").isNotNull() & F.col("password").isNotNull() & F.col("name").isNotNull()
     open_emails = (
@@ -60,9 +79,10 @@ def sign_up(requests: DataFrame, users: DataFrame, as_of: Column, first_id: Colu
     top = users.agg(F.coalesce(F.max("id"), F.lit(-1))).scalar() if first_id is None else first_id - 1
     winners = winners.select("message_id", (top + F.col("_place")).cast("bigint").alias("user_id"))
     named = requests.join(winners, "message_id", "left").withColumns({
-        "token": F.when(F.col("user_id").isNotNull(), repeatable_id(F.lit("token"), F.col("user_id"))),
+        "token": F.when(F.col("user_id").isNotNull(), random_id() if token is None else token),
         "expire_date": F.when(F.col("user_id").isNotNull(), session_expiry(as_of)),
     })
+    named = settle(named, "signed-up") if token is None else named
     outcomes = named.select(
         "message_id",
         F.when(F.col("user_id").isNotNull(), F.lit("Ok")).otherwise(F.lit("error")).alias("status"),
@@ -93,20 +113,24 @@ def log_in(
     requests: DataFrame,
     users: DataFrame,
     tokens: DataFrame,
-    as_of: Column,
+    as_of: Column | None = None,
     touch_login: bool = False,
+    token: Column | None = None,
 ) -> LogIn:
     """Requests (message_id, email, password) against users and tokens.
 
     A wrong pair gives an error outcome. A user keeps the token they have, or gets one, and its
-    life is a day from ``as_of``. ``tokens`` of the result is the whole table after the change.
+    life is a day from ``as_of``. ``tokens`` of the result is the whole table after the change. A random token is
+    drawn once for a user and written.
     """
+    as_of = moment(as_of)
     known = users.select(F.col("id").alias("user_id"), "email", F.col("password").alias("_digest"))
     known = first_per_key(known, ["email", "_digest"], [F.col("user_id")])
     held = _one_per(tokens, "user_id", "id", "token", "id")
     known = known.join(held, "user_id", "left").withColumn(
-        "token", F.coalesce("token", repeatable_id(F.lit("token"), F.col("user_id")))
+        "token", F.coalesce("token", random_id() if token is None else token)
     )
+    known = settle(known, "logged-in") if token is None else known
     asked = requests.select("message_id", "email", credential(F.col("password")).alias("_digest"))
     given = join_keeping(asked, known, ["email", "_digest"], "message_id")
     expire = session_expiry(as_of)
@@ -132,7 +156,7 @@ def log_in(
     return LogIn(outcomes, after, seen_users)
 
 
-def check_sessions(requests: DataFrame, tokens: DataFrame, users: DataFrame, as_of: Column) -> DataFrame:
+def check_sessions(requests: DataFrame, tokens: DataFrame, users: DataFrame, as_of: Column | None = None) -> DataFrame:
     """(message_id, status, message, id, email, name, created_date, last_login_date).
 
     No token is 'forbidden', an unknown one 'token is not valid', one at or past its expiry
@@ -142,7 +166,7 @@ def check_sessions(requests: DataFrame, tokens: DataFrame, users: DataFrame, as_
     shown = users.select("id", "email", "name", "created_date", "last_login_date")
     known = known.join(shown, F.col("user_id") == F.col("id"), "left")
     joined = join_keeping(requests.select("message_id", "token"), known, ["token"], "message_id")
-    valid = F.coalesce(still_valid(F.col("expire_date"), as_of), F.lit(False))
+    valid = F.coalesce(still_valid(F.col("expire_date"), moment(as_of)), F.lit(False))
     message = (
         F.when(F.col("token").isNull(), F.lit(FORBIDDEN))
         .when(F.col("expire_date").isNull(), F.lit(BAD_TOKEN))
@@ -156,18 +180,18 @@ def check_sessions(requests: DataFrame, tokens: DataFrame, users: DataFrame, as_
     )
 
 
-def fresh_domains(stats: DataFrame, as_of: Column) -> DataFrame:
+def fresh_domains(stats: DataFrame, as_of: Column | None = None) -> DataFrame:
     """Domains whose last crawl lies less than 30 days back."""
     last = stats.groupBy("domain").agg(F.max("time").alias("time"))
-    return last.filter(is_fresh(F.col("time"), as_of)).select("domain")
+    return last.filter(is_fresh(F.col("time"), moment(as_of))).select("domain")
 
 
-def not_fresh(requests: DataFrame, stats: DataFrame, as_of: Column) -> DataFrame:
+def not_fresh(requests: DataFrame, stats: DataFrame, as_of: Column | None = None) -> DataFrame:
     """Requests for domains that are due; a domain never crawled is."""
     return requests.join(fresh_domains(stats, as_of), "domain", "left_anti")
 
 
-def index_requests(requests: DataFrame, tokens: DataFrame, stats: DataFrame, as_of: Column) -> DataFrame:
+def index_requests(requests: DataFrame, tokens: DataFrame, stats: DataFrame, as_of: Column | None = None) -> DataFrame:
     """(message_id, domain, author_id, outcome) for requests (message_id, token, domain).
 
     'accepted' requests are crawled for the owner of the token; 'fresh' ones were crawled lately.
@@ -186,12 +210,33 @@ def index_requests(requests: DataFrame, tokens: DataFrame, stats: DataFrame, as_
     return joined.select("message_id", "domain", F.col("user_id").alias("author_id"), outcome.alias("outcome"))
 
 
+def stats_outcome(requests: DataFrame, tokens: DataFrame, stats: DataFrame) -> DataFrame:
+    """(message_id, status, message, domain, author_id, time, pages_count): an answer to every request.
+
+    No token is 'forbidden', an unknown one 'token is not valid'; an author without statistics gets an answer
+    without a row.
+    """
+    known = _one_per(tokens, "token", "id", "user_id")
+    first = _one_per(stats, "author_id", "domain", "domain", "time", "pages_count")
+    seen = known.join(first, F.col("user_id") == F.col("author_id"), "left")
+    joined = join_keeping(requests.select("message_id", "token"), seen, ["token"], "message_id")
+    message = token_outcome(F.col("token"))
+    message = F.coalesce(message, F.when(F.col("user_id").isNull(), F.lit(BAD_TOKEN)), F.when(F.col("author_id").isNull(), F.lit(NO_STATS)))
+    refused = F.col("user_id").isNull()
+    return joined.select(
+        "message_id",
+        F.when(refused, F.lit("error")).otherwise(F.lit("Ok")).alias("status"),
+        message.alias("message"),
+        "domain", "author_id", "time", "pages_count",
+    )
+
+
 def crawl_stats_of(requests: DataFrame, tokens: DataFrame, stats: DataFrame) -> DataFrame:
     """(message_id, domain, author_id, time, pages_count): the first statistics row (by domain) of
     the author a token belongs to."""
     known = _one_per(tokens, "token", "id", "user_id")
     first = _one_per(stats, "author_id", "domain", "domain", "time", "pages_count")
     seen = known.join(first, F.col("user_id") == F.col("author_id"))
-    return requests.select("message_id", "token").join(seen, "token").select(
+    return join_keeping(requests.select("message_id", "token"), seen, ["token"], "message_id").filter("author_id IS NOT NULL").select(
         "message_id", "domain", "author_id", "time", "pages_count"
     )

@@ -143,7 +143,7 @@ SELECT message_id, CASE WHEN user_id IS NULL THEN 'error' ELSE 'Ok' END AS statu
 FROM ({_MATCHED_SQL})
 """)
 def login_outcome(spark, sf):
-    return N.log_in(_logins(spark, sf), users(spark, sf), _held(spark, sf), as_of()).outcomes
+    return N.log_in(_logins(spark, sf), users(spark, sf), _held(spark, sf), as_of(), token=token_of(F.col("user_id"))).outcomes
 
 
 @query(f"""
@@ -154,7 +154,7 @@ UNION ALL SELECT * FROM renewed
 """)
 def login_tokens(spark, sf):
     """The tokens after all logins: renewed, new and untouched ones."""
-    return N.log_in(_logins(spark, sf), users(spark, sf), _held(spark, sf), as_of()).tokens
+    return N.log_in(_logins(spark, sf), users(spark, sf), _held(spark, sf), as_of(), token=token_of(F.col("user_id"))).tokens
 
 
 @query(f"""
@@ -165,7 +165,7 @@ FROM ({USERS_SQL})
 """)
 def login_users(spark, sf):
     """The users with their last login brought up to date, which is optional."""
-    after = N.log_in(_logins(spark, sf), users(spark, sf), _held(spark, sf), as_of(), touch_login=True).users
+    after = N.log_in(_logins(spark, sf), users(spark, sf), _held(spark, sf), as_of(), touch_login=True, token=token_of(F.col("user_id"))).users
     return after.drop("password")
 
 
@@ -189,7 +189,7 @@ def _sign_ups(spark, sf):
         F.expr("nullif(o_orderstatus, 'P')").alias("password"),
         F.col("o_orderpriority").alias("name"),
     )
-    return N.sign_up(requests, users(spark, sf), as_of())
+    return N.sign_up(requests, users(spark, sf), as_of(), token=token_of(F.col("user_id")))
 
 
 @query(f"""
@@ -328,3 +328,25 @@ def json_round(spark, sf):
         "event_id", "b.k", C.encode_body(k=F.col("b.k"), status=F.col("event_type")).alias("body")
     )
     return encoded.withColumn("status", C.body_field(F.col("body"), "status"))
+
+
+@query(f"""
+SELECT c_custkey AS message_id, CASE WHEN c_custkey % 10 IN (0, 1) THEN 'error' ELSE 'Ok' END AS status,
+       CASE WHEN c_custkey % 10 = 0 THEN 'forbidden' WHEN c_custkey % 10 = 1 THEN 'token is not valid'
+            WHEN domain IS NULL THEN 'no statistics' END AS message,
+       domain, author_id, time, pages_count
+FROM customer LEFT JOIN (
+  SELECT *, row_number() OVER (PARTITION BY author_id ORDER BY domain) AS place FROM ({_STATS_SQL}) WHERE author_id % 3 <> 0)
+ON author_id = c_nationkey AND place = 1 AND c_custkey % 10 > 1
+""")
+def stats_outcome(spark, sf):
+    """Customers ask for statistics; some without a token, some with an unknown one, some where there are none."""
+    key, nation = F.col("c_custkey"), F.col("n_nationkey")
+    token = F.when(key % 10 == 1, F.lit("unknown")).when(key % 10 > 1, token_of(F.col("c_nationkey")))
+    requests = table(spark, sf, "customer").select(key.alias("message_id"), token.alias("token"))
+    held = table(spark, sf, "nation").select(
+        token_of(nation).alias("token"), nation.cast("bigint").alias("user_id"),
+        as_of().alias("expire_date"), nation.cast("bigint").alias("id"),
+    )
+    known = crawl_statistics(shipped(spark, sf)).filter("author_id % 3 <> 0")
+    return N.stats_outcome(requests, held, known)

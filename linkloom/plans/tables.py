@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from linkloom.functions.scalars import body_field, truthy
 from linkloom.operators import requests as Q
 from linkloom.operators import rows as R
+from linkloom.operators.ranks import running_number
 from linkloom.operators import schema as M
 from linkloom.operators import stats
 from linkloom.plans.registry import query
@@ -59,6 +60,18 @@ def slice_rows(spark, sf):
     return R.slice_rows(table(spark, sf, "orders"), ["o_orderkey"], 100, 500)
 
 
+@query("""
+SELECT row_number() OVER (ORDER BY o_orderkey) AS position, o_orderkey, o_totalprice FROM (
+  SELECT *, row_number() OVER (ORDER BY o_orderkey) AS place FROM orders)
+WHERE place > 10 AND (place - 11) % 7 = 0
+""")
+def slice_positions(spark, sf):
+    """A slice with a step, its rows in their order."""
+    rows = R.slice_rows(table(spark, sf, "orders"), ["o_orderkey"], 10, None, 7).select("o_orderkey", "o_totalprice")
+    placed = rows.withColumn("_id", F.monotonically_increasing_id())  # follows the order of the sorted rows
+    return running_number(placed, [], [F.col("_id")], "position").select("position", "o_orderkey", "o_totalprice")
+
+
 @query("""
 SELECT * EXCLUDE (place) FROM (SELECT *, row_number() OVER (ORDER BY o_orderkey) AS place FROM orders)
 WHERE place > 10 AND (place - 11) % 7 = 0
@@ -219,6 +232,24 @@ def save_stored(spark, sf):
     return store.read()
 
 
+@query("""
+SELECT o_orderkey AS id, 'name' AS field, 'null in a required field' AS reason FROM orders WHERE o_orderpriority = '1-URGENT'
+UNION ALL
+SELECT c_custkey, 'stored', 'customer' FROM customer WHERE c_custkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderpriority <> '1-URGENT')
+UNION ALL
+SELECT o_orderkey, 'stored', 'order' FROM orders WHERE o_orderpriority <> '1-URGENT'
+""")
+def save_rejects(spark, sf):
+    """A bulk save with bad rows: the rejects, and what the table holds afterwards."""
+    store = SnapshotTable(spark, work_path(spark, "accounts"), ACCOUNT)
+    store.insert(_accounts(spark, sf).withColumn("name", F.lit("customer")))
+    bad = F.when(F.col("o_orderpriority") != "1-URGENT", F.lit("order"))
+    rejects = store.save(table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("id"), bad.alias("name"), F.col("o_totalprice").alias("balance")))
+    told = rejects.select(F.get_json_object("row", "$.id").cast("bigint").alias("id"), "field", "reason")
+    return told.union(store.read().select("id", F.lit("stored"), "name"))
+
+
 @query("""
 SELECT o_orderkey, o_custkey,
        CASE WHEN o_totalprice > 300000 AND o_orderpriority = '1-URGENT' THEN 'X' ELSE o_orderstatus END AS o_orderstatus,
@@ -277,8 +308,8 @@ def _search_requests(spark, sf):
 
 
 @query(f"""
-SELECT event_id, q, coalesce(TRY_CAST(lim AS INTEGER), 10) AS "limit",
-       coalesce(TRY_CAST(off AS INTEGER), 0) AS "offset"
+SELECT event_id, q, coalesce(TRY_CAST(lim AS BIGINT), 10) AS "limit",
+       coalesce(TRY_CAST(off AS BIGINT), 0) AS "offset"
 FROM ({_REQUESTS}) WHERE q IS NOT NULL
 """)
 def paging_lenient(spark, sf):
@@ -286,9 +317,9 @@ def paging_lenient(spark, sf):
 
 
 @query(f"""
-SELECT event_id, q, TRY_CAST(lim AS INTEGER) AS "limit", TRY_CAST(off AS INTEGER) AS "offset"
+SELECT event_id, q, TRY_CAST(lim AS BIGINT) AS "limit", TRY_CAST(off AS BIGINT) AS "offset"
 FROM ({_REQUESTS})
-WHERE q IS NOT NULL AND TRY_CAST(lim AS INTEGER) <= 100 AND TRY_CAST(off AS INTEGER) IS NOT NULL
+WHERE q IS NOT NULL AND TRY_CAST(lim AS BIGINT) <= 100 AND TRY_CAST(off AS BIGINT) IS NOT NULL
 """)
 def paging_strict(spark, sf):
     return Q.strict_paging(_search_requests(spark, sf)).accepted
@@ -297,7 +328,7 @@ def paging_strict(spark, sf):
 @query(f"""
 SELECT event_id, CASE WHEN q IS NULL OR off IS NULL THEN 'missing parameter' ELSE 'bad value' END AS reason
 FROM ({_REQUESTS})
-WHERE q IS NULL OR off IS NULL OR TRY_CAST(lim AS INTEGER) IS NULL OR TRY_CAST(lim AS INTEGER) > 100
+WHERE q IS NULL OR off IS NULL OR TRY_CAST(lim AS BIGINT) IS NULL OR TRY_CAST(lim AS BIGINT) > 100
 """)
 def paging_rejects(spark, sf):
     return Q.strict_paging(_search_requests(spark, sf)).rejected.select("event_id", "reason")

@@ -9,12 +9,14 @@ groups. The index is a column and no folder, since there may be as many indexes
 
 from __future__ import annotations
 
+import json
 import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkloom.operators import search as S
+from linkloom.session import child_names, path_exists
 
 
 class IndexStore:
@@ -27,9 +29,20 @@ class IndexStore:
         self.spark = spark
         self.name = name
         self.path = path.rstrip("/")
-        self.buckets = buckets or 2 * spark.sparkContext.defaultParallelism
+        stored = self._stored_buckets()
+        if stored and buckets and stored != buckets:
+            raise ValueError(f"the index at {self.path} has {stored} buckets, not {buckets}")
+        self.buckets = stored or buckets or 2 * spark.sparkContext.defaultParallelism
         self._attach()
 
+    def _stored_buckets(self) -> int | None:
+        """The bucket count written beside the index. Files without it could be read with a wrong one: refused."""
+        if path_exists(self.spark, f"{self.path}/layout"):
+            return int(json.loads(self.spark.read.text(f"{self.path}/layout").first()[0])["buckets"])
+        if any(n.startswith("part-") for n in child_names(self.spark, f"{self.path}/postings")):
+            raise ValueError(f"the index at {self.path} does not say how many buckets it has")
+        return None
+
     def _attach(self) -> None:
         """Declare the tables over their folders, whose files may already be there."""
         layouts = {
@@ -42,7 +55,12 @@ class IndexStore:
         }
         for part, (columns, buckets) in layouts.items():
             table = self._table(part)
-            if not self.spark.catalog.tableExists(table):
+            if self.spark.catalog.tableExists(table):
+                said = {r.col_name: r.data_type for r in self.spark.sql(f"DESCRIBE EXTENDED {table}").collect()}
+                same = said.get("Location", "").partition(":")[2].lstrip("/") == f"{self.path}/{part}".rpartition(":")[2].lstrip("/")
+                if not same or part == "postings" and said.get("Num Buckets") != str(self.buckets):
+                    raise ValueError(f"table {table} stands for another index")
+            else:
                 self.spark.sql(
                     f"CREATE TABLE {table} ({columns}) USING parquet {buckets} LOCATION '{self.path}/{part}'"
                 )
@@ -61,6 +79,8 @@ class IndexStore:
         shuffle. Texts are read and split once: the statistics come from the stored postings, and
         the number of documents needs no text.
         """
+        said = self.spark.createDataFrame([(json.dumps({"format": 1, "buckets": self.buckets}),)], "value string")
+        said.coalesce(1).write.mode("overwrite").text(f"{self.path}/layout")
         placed = documents.select("index_name", "url", "content").repartition(self.buckets, "url")
         rows = S.postings(placed).sortWithinPartitions("index_name", "term")
         self._replace("postings", rows)
@@ -73,6 +93,11 @@ class IndexStore:
         )
         self._replace("totals", totals)
 
+    def close(self) -> None:
+        """Take the tables out of the catalog; the files stay."""
+        for part in ("postings", "terms", "totals"):
+            self.spark.sql(f"DROP TABLE IF EXISTS {self._table(part)}")
+
     def postings(self) -> DataFrame:
         return self.spark.table(self._table("postings"))
 

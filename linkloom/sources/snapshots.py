@@ -1,8 +1,9 @@
 """A table kept as versioned Parquet folders.
 
-Parquet has no UPDATE or DELETE. A change is one set-wise plan over the current version, written
-as the next version; readers take the newest version that Spark marked complete (``_SUCCESS``),
-so a failed write is never seen. An insert only adds files to the current version.
+Parquet has no UPDATE or DELETE. A change, an insert too, is one set-wise plan over the current version,
+written as the next version; readers take the newest version that Spark marked complete (``_SUCCESS``),
+so a failed write is never seen. A version made of a streaming batch carries the names of its query and
+batch, so that a batch that is run again is told from another query's batch of the same number.
 """
 
 from __future__ import annotations
@@ -21,31 +22,40 @@ class SnapshotTable:
         self.model = model
         self.key = key or ["id"]
 
-    def _folder(self, version: int) -> str:
-        return f"{self.path}/v{version:010d}"
+    def _known(self) -> dict[int, str]:
+        """Folders of the complete versions, oldest first."""
+        found = {}
+        for name in sorted(child_names(self.spark, self.path)):
+            number = name.partition(".")[0]
+            if number[:1] == "v" and number[1:].isdigit() and path_exists(self.spark, f"{self.path}/{name}/_SUCCESS"):
+                found[int(number[1:])] = name
+        return found
 
     def versions(self) -> list[int]:
         """Complete versions, oldest first."""
-        found = sorted(
-            int(n[1:]) for n in child_names(self.spark, self.path) if n[:1] == "v" and n[1:].isdigit()
-        )
-        return [v for v in found if path_exists(self.spark, f"{self._folder(v)}/_SUCCESS")]
+        return list(self._known())
 
     def read(self, version: int | None = None) -> DataFrame:
-        known = self.versions()
+        known = self._known()
         if not known:
             return self.spark.createDataFrame([], self.model.struct)
-        chosen = known[-1] if version is None else version
-        return self.spark.read.schema(self.model.struct).parquet(self._folder(chosen))
-
-    def write(self, df: DataFrame, version: int | None = None) -> int:
-        """Store a whole version. A version number already complete is left as it is, so a
-        repeated streaming batch changes nothing."""
-        known = self.versions()
-        chosen = (known[-1] + 1 if known else 0) if version is None else version
-        if chosen not in known:
-            df.select(*self.model.names).write.mode("overwrite").parquet(self._folder(chosen))
-        return chosen
+        chosen = max(known) if version is None else version
+        return self.spark.read.schema(self.model.struct).parquet(f"{self.path}/{known[chosen]}")
+
+    def applied(self, batch: tuple[str, int]) -> int | None:
+        """The version made of this batch (query id, number), if there is one."""
+        mark = ".{}.{}".format(*batch)
+        return next((v for v, name in self._known().items() if name.endswith(mark)), None)
+
+    def write(self, df: DataFrame, batch: tuple[str, int] | None = None) -> int:
+        """Store rows as the next version. A batch that made a version before is not written again."""
+        if batch is not None and (done := self.applied(batch)) is not None:
+            return done
+        known = self._known()
+        version = max(known) + 1 if known else 0
+        mark = ".{}.{}".format(*batch) if batch else ""
+        df.select(*self.model.names).write.mode("overwrite").parquet(f"{self.path}/v{version:010d}{mark}")
+        return version
 
     def insert(
         self,
@@ -55,19 +65,16 @@ class SnapshotTable:
         text_input: bool = False,
         fail_fast: bool = False,
     ) -> DataFrame | None:
-        """Append validated rows and return the rejects."""
+        """Add validated rows and return the rejects."""
         checked: Validated = validate(df, self.model, strict, text_input, fail_fast=fail_fast)
         good = with_defaults(checked.rows, defaults) if defaults else checked.rows
-        known = self.versions()
-        folder = self._folder(known[-1] if known else 0)
-        good.write.mode("append").parquet(folder)
+        self.write(self.read().unionByName(good.select(*self.model.names)))
         return checked.rejects
 
     def upsert(
-        self, updates: DataFrame, order: list[Column] | None = None, version: int | None = None
+        self, updates: DataFrame, order: list[Column] | None = None, batch: tuple[str, int] | None = None
     ) -> int:
-        base = self.read(version - 1 if version and version - 1 in self.versions() else None)
-        return self.write(R.upsert(base, updates, self.key, order), version)
+        return self.write(R.upsert(self.read(), updates, self.key, order), batch)
 
     def update(self, matched: Column, **values: object) -> int:
         self.model.check_names(values)
@@ -76,9 +83,11 @@ class SnapshotTable:
     def delete(self, matched: Column) -> int:
         return self.write(R.delete_where(self.read(), matched))
 
-    def save(self, rows: DataFrame, order: list[Column] | None = None) -> int:
-        """Validated upsert of a row set."""
-        return self.upsert(validate(rows, self.model).rows, order)
+    def save(self, rows: DataFrame, order: list[Column] | None = None, fail_fast: bool = False) -> DataFrame | None:
+        """Validated upsert of a row set; returns the rejects, or raises on the first with ``fail_fast``."""
+        checked: Validated = validate(rows, self.model, fail_fast=fail_fast)
+        self.upsert(checked.rows, order)
+        return checked.rejects
 
     def delete_keys(self, keys: DataFrame) -> int:
         return self.write(R.delete_keys(self.read(), keys, self.key))

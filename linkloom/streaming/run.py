@@ -25,6 +25,12 @@ def run_to_table(stream: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(stream.schema).parquet(f"{base}/out")
 
 
+def batch_name(batch: DataFrame, number: int, fallback: str) -> tuple[str, int]:
+    """(query id, batch number) of a micro-batch. The id lives in the checkpoint, so a new checkpoint gives a new one."""
+    running = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    return running or fallback, number
+
+
 def run_batches(stream: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str) -> None:
     """Hand every micro-batch to a function, with its number."""
     (

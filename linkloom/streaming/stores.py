@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,25 +14,30 @@ from linkloom.operators.documents import latest, page_documents
 from linkloom.session import child_names, settle
 from linkloom.sources.index_store import IndexStore
 from linkloom.sources.snapshots import SnapshotTable
+from linkloom.streaming.run import batch_name
 
 
 def renew_sessions(sessions: SnapshotTable, when: str = "ts") -> Callable[[DataFrame, int], None]:
     """A micro-batch function over logins (token, user_id, id, ts): each renews its token for a day.
 
-    The batch number is the version written, so a batch that is run again changes nothing. Logins
-    of one token are reduced to the latest before they meet the table.
+    A batch is known by its query and number, so one that is run again changes nothing. Logins of one token
+    are reduced to the latest before they meet the table; a login that comes late shortens no session.
     """
+    fallback = uuid.uuid4().hex  # for batches that come from no streaming query
 
     def handle(batch: DataFrame, number: int) -> None:
         renewed = batch.groupBy("token", "user_id", "id").agg(F.max(when).alias("_at"))
-        renewed = renewed.withColumn("expire_date", session_expiry(F.col("_at"))).drop("_at")
-        sessions.upsert(renewed, version=number)
+        held = sessions.read().groupBy("token").agg(F.max("expire_date").alias("_held"))
+        renewed = renewed.join(held, "token", "left").withColumn(
+            "expire_date", F.greatest(session_expiry(F.col("_at")).cast("timestamp_ntz"), F.col("_held"))
+        )
+        sessions.upsert(renewed, [F.col("expire_date").desc()], batch_name(batch, number, fallback))
 
     return handle
 
 
 class PageIndexLog:
-    """Documents and postings of arriving pages, one pair of folders per batch.
+    """Documents and postings of arriving pages, one pair of folders per query and batch.
 
     A page that comes again replaces its document: the newest (seq) document of a url counts, and
     only its postings are live. Statistics follow from what is live, so they are exact after every
@@ -49,22 +55,24 @@ class PageIndexLog:
 
     def handler(self, root: Callable[[], Column]) -> Callable[[DataFrame, int], None]:
         """A micro-batch function over pages (url, html, seq)."""
+        fallback = uuid.uuid4().hex
 
         def handle(batch: DataFrame, number: int) -> None:
             newest = latest(batch.withColumn("_index", root()), ["_index", "url"], [F.col("seq")])
             docs = page_documents(newest, root(), "seq")
-            folder = f"{self.path}/documents/batch={number}"
+            name = "{}-{}".format(*batch_name(batch, number, fallback))
+            folder = f"{self.path}/documents/batch={name}"
             length = F.size(S.tokens(F.col("content"))).cast("bigint")
             docs.withColumn("dl", length).write.mode("overwrite").parquet(folder)
             stored = self.spark.read.schema(self.DOCUMENTS).parquet(folder)
-            S.postings(stored).write.mode("overwrite").parquet(f"{self.path}/postings/batch={number}")
+            S.postings(stored).write.mode("overwrite").parquet(f"{self.path}/postings/batch={name}")
 
         return handle
 
     def _log(self, part: str, schema: str) -> DataFrame:
         if not child_names(self.spark, f"{self.path}/{part}"):
-            return self.spark.createDataFrame([], f"{schema}, batch int")
-        return self.spark.read.schema(f"{schema}, batch int").parquet(f"{self.path}/{part}")
+            return self.spark.createDataFrame([], f"{schema}, batch string")
+        return self.spark.read.schema(f"{schema}, batch string").parquet(f"{self.path}/{part}")
 
     def live(self) -> DataFrame:
         """(index_name, url, dl, batch) of the documents that count; texts are not read."""
@@ -97,7 +105,7 @@ class PageIndexLog:
         live = self.live().select(*self.KEYS, "batch")
         for part, schema in (("documents", self.DOCUMENTS), ("postings", self.POSTINGS)):
             rows = self._log(part, schema).join(live, [*self.KEYS, "batch"], "left_semi").drop("batch")
-            rows.write.mode("overwrite").parquet(f"{fresh.path}/{part}/batch=-1")
+            rows.write.mode("overwrite").parquet(f"{fresh.path}/{part}/batch=live")
         return fresh
 
     def compact(self, store: IndexStore) -> None:

@@ -56,8 +56,8 @@ def _one(spark, column, **values):
 
 def test_references(spark):
     for text in ["a &amp;lt; b", "&lt;4&gt; &amp;amp;", "&eacute;&#233;&#xe9;&#x1F600;", "x & y &nope; z",
-                 "no reference", "&copy;&hellip;", "&amp", "&&amp;&"]:
-        expected = pyhtml.unescape(text) if text != "&amp" else "&amp"
+                 "no reference", "&copy;&hellip;", "&amp", "&&amp;&", "it&apos;s &check; &lt &ltx &notit; &copycat &fjlig; &amp=", "&nosuch &#x;"]:
+        expected = pyhtml.unescape(text)
         assert _one(spark, decode_references(F.col("t")), t=text) == expected, text
 
 
@@ -105,3 +105,21 @@ def test_times_and_names(spark):
     assert _one(spark, parse_time(F.col("t")), t="yesterday") is None
     assert _one(spark, index_name(F.col("u")), u="https://site.test/a?b") == "httpssite.testab"
     assert _one(spark, tokens(F.col("t")), t="Don't stop, Éa 3.14 spark") == ["don", "t", "stop", "éa", "3", "14", "spark"]
+
+
+def test_references_by_hand(spark):
+    text = "it&apos;s &check; 1 &lt 2, &copy2024 &NotEqualTilde; &unknown;"
+    assert _one(spark, decode_references(F.col("t")), t=text) == "it's \u2713 1 < 2, \xa92024 \u2242\u0338 &unknown;"
+
+
+def test_bad_pages_take_linear_time(spark):
+    import time
+
+    for opener, column in (("<a ", hrefs), ("<head>", html_text), ("<a href='", hrefs), ("<script>", html_text), ("<", html_text)):
+        took = []
+        for size in (500_000, 1_000_000):
+            page = spark.createDataFrame([(opener * (size // len(opener)),)], "h string").select(F.length(F.to_json(F.struct(column(F.col("h"))))))
+            started = time.time()
+            page.collect()
+            took.append(time.time() - started)
+        assert took[1] < 3 * took[0] + 2, (opener, took)

@@ -113,7 +113,7 @@ def test_latest_document_wins(spark, tmp_path):
     )
     docs = D.page_documents(rows, F.lit(S), "seq")
     D.write_documents(docs, str(tmp_path / "docs"), [F.col("seq")])
-    stored = spark.read.parquet(str(tmp_path / "docs"))
+    stored = D.read_documents(spark, str(tmp_path / "docs"))
     assert {(r["index_name"], r["url"], r["content"]) for r in stored.collect()} == {
         ("httpssite.test", S, "v299"), ("httpssite.test", f"{S}/x", "x"),
     }

@@ -1,3 +1,4 @@
+import pytest
 import math
 import random
 from collections import Counter
@@ -135,16 +136,20 @@ def test_stored_index(spark):
     totals = {r["index_name"]: r["n"] for r in store.totals().collect()}
     assert totals["c"] == 1 and totals["a"] == 77
     # a scan of postings is cut down by index and word, and scores need no shuffle by document
-    again = IndexStore(spark, "test_store_again", path, buckets=4)
+    with pytest.raises(ValueError):
+        IndexStore(spark, "test_store_wrong", path, buckets=8)
+    with pytest.raises(ValueError):
+        IndexStore(spark, "test_store", work_path(spark, "other"), buckets=4)  # the name stands for another index
+    again = IndexStore(spark, "test_store_again", path)
+    assert again.buckets == 4 and sorted(map(tuple, again.search_many(asked).collect())) == stored
     assert again.postings().count() == store.postings().count()
     scored = S.score(again.postings(), again.term_stats(), again.totals(),
                      S.query_terms(asked, ["query_id", "index_name"]), ["query_id", "index_name"], True)
     plan = scored._jdf.queryExecution().executedPlan().toString()
     head = plan[: plan.index("Join")]
     assert "Exchange" not in head, head
-    for part in ("postings", "terms", "totals"):
-        spark.sql(f"DROP TABLE test_store_{part}")
-        spark.sql(f"DROP TABLE test_store_again_{part}")
+    store.close()
+    again.close()
 
 
 def test_postings(spark):
@@ -154,3 +159,21 @@ def test_postings(spark):
     assert S.term_statistics(S.postings(docs(spark))).filter("term = 'spark'").first()["df"] == 2
     assert S.corpus_totals(S.document_lengths(docs(spark))).first().asDict() == {"n": 3, "total": 7}
     assert S.document_lengths(docs(spark)).agg(F.sum("dl")).first()[0] == 7
+
+
+def test_long_queries_follow_the_same_rule(spark):
+    """Indexes and repeated urls make no difference between few words and many."""
+    rows = [("a", "u", "w1 w2"), ("b", "u", "w1"), ("b", "v", "w1 w3 w3"), ("a", "x", "none")]
+    d = spark.createDataFrame(rows, "index_name string, url string, content string")
+    short = S.search(d, "w1").collect()
+    long = S.search(d, " ".join(["w1", *(f"z{i}" for i in range(60))])).collect()
+    assert [tuple(r) for r in short] == [tuple(r) for r in long] and len(short) == 3
+    assert S.search(d, "w1", offset=-2).count() == 0
+
+
+def test_postings_need_no_shuffle(spark):
+    d = spark.createDataFrame([("u", "b a b"), ("v", ""), ("w", None)], "url string, content string")
+    found = S.postings(d)
+    assert sorted(map(tuple, found.collect())) == [("u", "a", 1, 3), ("u", "b", 2, 3)]
+    assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+    assert S.term_statistics(found)._jdf.queryExecution().executedPlan().toString().count("Exchange hash") == 1

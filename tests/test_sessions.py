@@ -2,6 +2,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from linkloom.functions.scalars import repeatable_id
 from linkloom.operators import requests as Q
 from linkloom.operators import sessions as N
 from linkloom.operators import stats
@@ -46,7 +47,7 @@ def test_login(spark):
         [(1, "ann@mail.test", "secret"), (2, "ann@mail.test", "wrong"), (3, "bob@mail.test", "hidden"),
          (4, "bob@mail.test", "hidden"), (5, "no@mail.test", "x"), (6, None, None)],
         "message_id long, email string, password string")
-    out = N.log_in(asked, users(spark), tokens(spark), as_of(), touch_login=True)
+    out = N.log_in(asked, users(spark), tokens(spark), as_of(), touch_login=True, token=repeatable_id(F.lit("token"), F.col("user_id")))
     got = {r["message_id"]: r for r in out.outcomes.collect()}
     bad = "password or email not correct"
     assert [got[i]["message"] for i in range(1, 7)] == [None, bad, None, None, bad, bad]
@@ -65,7 +66,7 @@ def test_sign_up(spark):
         [(5, "new@mail.test", "p", "N"), (3, "new@mail.test", "q", "First"), (1, "ann@mail.test", "p", "A"),
          (7, "other@mail.test", "p", "O"), (8, None, "p", "x"), (9, "z@mail.test", None, "z")],
         "message_id long, email string, password string, name string")
-    out = N.sign_up(asked, users(spark), as_of())
+    out = N.sign_up(asked, users(spark), as_of(), token=repeatable_id(F.lit("token"), F.col("user_id")))
     assert _outcomes(out.outcomes) == {
         3: ("Ok", None), 7: ("Ok", None), 5: ("error", "email is taken"), 1: ("error", "email is taken"),
         8: ("error", "missing parameter"), 9: ("error", "missing parameter")}
@@ -154,3 +155,24 @@ def test_hot_and_missing_tokens_are_split(spark):
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
+
+
+def test_random_tokens_are_drawn_once(spark):
+    asked = spark.createDataFrame([(3, "new@mail.test", "q", "First"), (7, "other@mail.test", "p", "O")],
+                                  "message_id long, email string, password string, name string")
+    out = N.sign_up(asked, users(spark))  # the token and the time are drawn here
+    told = {r["token"] for r in out.outcomes.collect()}
+    assert told == {r["token"] for r in out.new_tokens.collect()} == {r["token"] for r in out.outcomes.collect()} and len(told) == 2
+    again = {r["token"] for r in N.sign_up(asked, users(spark)).outcomes.collect()}
+    assert not told & again
+    close = [abs((r["expire_date"] - dt.timedelta(days=1) - dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)).total_seconds()) for r in out.new_tokens.collect()]
+    assert max(close) < 120
+
+
+def test_every_statistics_request_gets_an_answer(spark):
+    crawled = spark.createDataFrame([("b", 1, dt.datetime(2024, 1, 1), 5), ("a", 1, dt.datetime(2024, 1, 1), 7)],
+                                    "domain string, author_id long, time timestamp_ntz, pages_count long")
+    held = spark.createDataFrame([("t1", 1, 1), ("t2", 2, 2)], "token string, user_id long, id long")
+    asked = spark.createDataFrame([(1, "t1"), (2, "t2"), (3, "t9"), (4, None)], "message_id long, token string")
+    got = {r["message_id"]: (r["status"], r["message"], r["domain"]) for r in N.stats_outcome(asked, held, crawled).collect()}
+    assert got == {1: ("Ok", None, "a"), 2: ("Ok", "no statistics", None), 3: ("error", "token is not valid", None), 4: ("error", "forbidden", None)}

@@ -107,8 +107,33 @@ def test_sessions_renewed_once_per_batch(spark, tmp_path):
     day = dt.timedelta(days=1)
     expected = {"t1": at + hour + day, "t2": at + 3 * hour + day, "t3": at + day}
     assert {r["token"]: r["expire_date"] for r in store.read().collect()} == expected
-    handle(spark.createDataFrame(parts[1], schema), 1)
+    run_batches(stream, handle, str(tmp_path / "cp"))  # nothing new
     assert store.versions() == [0, 1]
+    late = spark.createDataFrame([("t1", 1, 1, at - 5 * day), ("t4", 4, 4, at)], schema)
+    handle(late, 0)  # another source's batch of the same number counts, and shortens no session
+    handle(late, 0)  # the same once more
+    assert {r["token"]: r["expire_date"] for r in store.read().collect()} == {**expected, "t4": at + day}
+    assert store.versions() == [0, 1, 2]
+
+
+def test_logs_and_tables_take_batches_of_new_checkpoints(spark, tmp_path):
+    from linkloom.functions.urls import site_root
+
+    log = PageIndexLog(spark, str(tmp_path / "log"))
+    for k in (1, 2):  # two checkpoints, each with a batch 0
+        page = [(f"https://a.t/{k}", "<p>word", k)]
+        stream = stream_of(spark, str(tmp_path / f"in{k}"), [page], "url string, html string, seq long")
+        run_batches(stream, log.handler(lambda: site_root(F.col("url"))), str(tmp_path / f"cp{k}"))
+    assert {r["url"] for r in log.documents().collect()} == {"https://a.t/1", "https://a.t/2"}
+
+
+def test_document_writes_replace_by_url(spark, tmp_path):
+    from linkloom.operators.documents import read_documents, write_documents
+
+    path, schema = str(tmp_path / "docs"), "index_name string, url string, content string, seq int"
+    write_documents(spark.createDataFrame([("a", "1", "old", 1), ("a", "2", "kept", 1), ("a", "1", "older", 0)], schema), path, [F.col("seq")])
+    write_documents(spark.createDataFrame([("a", "1", "new", 2), ("b", "1", "other", 2)], schema), path, [F.col("seq")])
+    assert {tuple(r) for r in read_documents(spark, path).collect()} == {("a", "1", "new"), ("a", "2", "kept"), ("b", "1", "other")}
 
 
 def test_incremental_index_equals_a_fresh_one(spark, tmp_path):
@@ -136,8 +161,7 @@ def test_incremental_index_equals_a_fresh_one(spark, tmp_path):
     store = IndexStore(spark, "compacted", work_path(spark, "store"), buckets=2)
     log.compact(store)
     assert sorted(map(tuple, store.search_many(asked).collect())) == got
-    for part in ("postings", "terms", "totals"):
-        spark.sql(f"DROP TABLE compacted_{part}")
+    store.close()
 
 
 def test_stream_of_folder_and_file(spark, sf, tmp_path):

@@ -97,7 +97,7 @@ def test_conditions(spark):
 
 def test_slices(spark):
     df = people(spark).repartition(3)
-    ids = lambda d: sorted(r["id"] for r in d.collect())
+    ids = lambda d: [r["id"] for r in d.collect()]
     for s in (slice(1, 3), slice(0, None), slice(None, None, 2), slice(1, 5, 3), slice(4, 2), slice(-2, None), slice(0, -1), slice(3, 99)):
         got = ids(R.slice_rows(df, ["id"], s.start or 0, s.stop, s.step or 1))
         assert got == [1, 2, 3, 4, 5][s], s
@@ -108,7 +108,9 @@ def test_slices(spark):
 def test_long_slices_are_numbered(spark, monkeypatch):
     monkeypatch.setattr(R, "TOP_ROWS", 10)
     df = spark.range(1000).repartition(5)
-    assert sorted(r[0] for r in R.slice_rows(df, ["id"], 700, 720).collect()) == list(range(700, 720))
+    assert [r[0] for r in R.slice_rows(df, ["id"], 700, 720).collect()] == list(range(700, 720))
+    assert [r[0] for r in R.slice_rows(df, ["id"], 3, None, 7).collect()] == list(range(3, 1000, 7))
+    assert [r[0] for r in R.slice_rows(df, ["id"]).collect()] == list(range(1000))
     assert R.item_at(df, ["id"], -300).first()[0] == 700 and R.item_at(df, ["id"], -2000).first() is None
 
 
@@ -169,18 +171,24 @@ def test_stored_table(spark, tmp_path):
     assert sorted(r["id"] for r in some) == [2, 4, 7]
     assert some[1]["id"] == 4 and some[9] is None and some[0:2].count() == 2
     t.filter(id=4).update(name="Change")
-    assert t.get(id=4)["name"] == "Change" and len(t.versions()) == 2
+    assert t.get(id=4)["name"] == "Change" and len(t.versions()) == 3
     t.filter(id=1).delete()
     assert t.get(id=1) is None and t.all().count() == 5
-    t.save(spark.createDataFrame([(2, "new", True, 2.0), (8, "h", False, 1.0)], "id long, name string, sex boolean, height double"))
+    rejects = t.save(spark.createDataFrame([(2, "new", True, 2.0), (8, "h", False, 1.0), (9, None, True, 1.0)], "id long, name string, sex boolean, height double"))
+    assert [r["field"] for r in rejects.collect()] == ["name"]
+    with pytest.raises(Exception):
+        t.save(spark.createDataFrame([(9, None, True, 1.0)], "id long, name string, sex boolean, height double"), fail_fast=True)
     assert t.get(id=2)["name"] == "new" and t.all().count() == 6
     t.delete_keys(spark.createDataFrame([(8,)], "id long"))
     t.update_keys(spark.createDataFrame([(7,)], "id long"), height=9.0)
     assert t.get(id=7)["height"] == 9.0 and t.all().count() == 5
-    assert t.read(version=0).count() == 6
+    assert t.read(version=0).count() == 5 and t.read(version=1).count() == 6
     before = t.versions()
-    t.write(t.read(), version=before[-1])  # a version that is complete is not written again
-    assert t.versions() == before
+    t.write(t.read(), ("query", 0))  # a batch is written once, whatever its number and the table's versions
+    t.write(t.read().limit(0), ("query", 0))
+    assert len(t.versions()) == len(before) + 1 and t.read().count() == 5
+    t.write(t.read(), ("other", 0))
+    assert len(t.versions()) == len(before) + 2
 
 
 def test_defaults_and_text_times(spark):
@@ -196,3 +204,15 @@ def test_random_ids(spark):
     out = spark.range(500).select(random_id().alias("i"), random_coupon_number().alias("c")).collect()
     assert len({r["i"] for r in out}) == 500
     assert all(0 <= r["c"] <= 0xFFFFF for r in out)
+
+
+def test_paging_beyond_an_int(spark):
+    from linkloom.operators import requests as Q
+
+    rows = [(1, "a", "5000000000", "3000000000"), (2, "a", "-1", "-2"), (3, "a", "5", "-2"), (4, "a", "x", None)]
+    asked = spark.createDataFrame(rows, "event_id int, q string, limit string, offset string")
+    read = {r["event_id"]: (r["limit"], r["offset"]) for r in Q.lenient_paging(asked).accepted.collect()}
+    assert read == {1: (5000000000, 3000000000), 2: (10, 0), 3: (5, 0), 4: (10, 0)}
+    checked = Q.strict_paging(asked)
+    assert checked.accepted.count() == 0
+    assert {r["event_id"]: r["reason"] for r in checked.rejected.collect()} == {1: "bad value", 2: "bad value", 3: "bad value", 4: "missing parameter"}
