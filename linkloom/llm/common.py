@@ -10,6 +10,8 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from linkloom.session import work_path
+
 WHITE_SPACE = r"\x20\x09-\x0D"
 
 
@@ -72,6 +74,13 @@ def broadcast_value(df: DataFrame, value):
     return df.sparkSession.sparkContext.broadcast(value)
 
 
+def settle_dense(df: DataFrame, label: str) -> DataFrame:
+    """``settle`` for tables of repeated text, which zstd packs far better than the usual codec."""
+    path = work_path(df.sparkSession, label)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark delete the shuffle files of finished steps now instead of at some later garbage collection."""
     gc.collect()

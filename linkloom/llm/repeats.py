@@ -8,8 +8,9 @@
    stretches through it. A phrase and all places that may hold it always meet in one shard.
 3. The places found are gathered by document.
 
-An anchor that very many documents have is dealt over several shards; its phrases are added up before the
-shuffle and sent to each of them.
+Where very many documents have an anchor, equal stretches are added up before the shuffle: only one of them,
+with its first id, goes to the shard. The other ones are copies of it as a whole, found by a join that
+Spark splits where one stretch is very common.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from linkloom.llm.common import map_batches, named, release
+from linkloom.llm.common import map_batches, named, release, settle_dense
 from linkloom.session import settle
 
 WINDOW = 13
@@ -49,50 +50,73 @@ def _powers_to(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0][:n], _powers[1][:n]
 
 
-def anchors(words: list[bytes], window: int = WINDOW, run: int = RUN) -> np.ndarray:
-    """The anchor of each window of the words, as signed longs. Hashes are of the runs' text, spaces included."""
-    if len(words) < window:
-        return np.empty(0, np.int64)
-    made, at = [], 0
-    while at + window <= len(words):
-        part = words[at:at + PIECE + window - 1]
-        made.append(_anchors(part, window, run))
-        at += PIECE
-    return np.concatenate(made)
-
-
-def _anchors(words: list[bytes], window: int, run: int) -> np.ndarray:
-    data = np.frombuffer(b" ".join(words), np.uint8)
-    up, down = _powers_to(len(data) + 1)
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_BYTE[data] * up[:-1], out=sums[1:])
-    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
-    starts = np.r_[0, ends[:-1] + 1]
-    a, b = starts[:len(words) - run + 1], ends[run - 1:]
-    hashes = (sums[b] - sums[a]) * down[a]
-    hashes ^= hashes >> np.uint64(29)
-    hashes *= np.uint64(0xBF58476D1CE4E5B9)
-    hashes ^= hashes >> np.uint64(32)
-    least, covered, wanted = hashes, 1, window - run + 1
-    while covered < wanted:
-        step = min(covered, wanted - covered)
-        least = np.minimum(least[:-step], least[step:])
-        covered += step
-    return least.view(np.int64)
+class Pages:
+    """Texts laid end to end, with the anchor of every window of every text.
+
+    ``own[i]`` is the anchor of the window that starts at word ``at[i]`` of text ``text[i]``; the window's
+    words are ``joined[starts[word[i]]:stops[word[i] + WINDOW - 1]]``.
+    """
+
+    def __init__(self, entries: list[tuple[int, int, list[bytes]]], window: int = WINDOW, run: int = RUN):
+        self.joined = b" ".join([b" ".join(words) for _, _, words in entries])
+        data = np.frombuffer(self.joined, np.uint8)
+        self.stops = np.r_[np.flatnonzero(data == 32), len(data)]
+        self.starts = np.r_[0, self.stops[:-1] + 1]
+        counts = np.array([len(words) for _, _, words in entries])
+        windows = counts - window + 1
+        first = np.cumsum(counts) - counts
+        inside = np.arange(windows.sum()) - np.repeat(np.cumsum(windows) - windows, windows)
+        self.word = np.repeat(first, windows) + inside
+        self.text = np.repeat(np.array([k for k, _, _ in entries]), windows)
+        self.at = np.repeat(np.array([at for _, at, _ in entries]), windows) + inside
+        self.own = self._least(data, window, run)[self.word]
+
+    def _least(self, data: np.ndarray, window: int, run: int) -> np.ndarray:
+        """The least hash of the runs in the window from each word on, as signed longs. Hashes are of the runs' text."""
+        up, down = _powers_to(len(data) + 1)
+        sums = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum(_BYTE[data] * up[:-1], out=sums[1:])
+        a, b = self.starts[:len(self.starts) - run + 1], self.stops[run - 1:]
+        hashes = (sums[b] - sums[a]) * down[a]
+        hashes ^= hashes >> np.uint64(29)
+        hashes *= np.uint64(0xBF58476D1CE4E5B9)
+        hashes ^= hashes >> np.uint64(32)
+        least, covered, wanted = hashes, 1, window - run + 1
+        while covered < wanted:
+            step = min(covered, wanted - covered)
+            least = np.minimum(least[:-step], least[step:])
+            covered += step
+        return least.view(np.int64)
+
+    def runs(self) -> np.ndarray:
+        """Where windows of one text begin to share an anchor, and the end."""
+        return np.flatnonzero(np.r_[True, (self.own[1:] != self.own[:-1]) | (self.text[1:] != self.text[:-1]), True])
+
+
+def pages(texts: list[bytes], size: int = 1 << 20) -> Iterator[Pages]:
+    """All texts with a window, about ``size`` bytes at a time; longer texts in pieces that overlap by a window less one word."""
+    entries, held = [], 0
+    for k, text in enumerate(texts):
+        words = text.split()
+        for at in range(0, len(words) - WINDOW + 1, PIECE):
+            entries.append((k, at, words[at:at + PIECE + WINDOW - 1]))
+            held += len(text) if len(words) <= PIECE else size
+            if held >= size:
+                yield Pages(entries)
+                entries, held = [], 0
+    if entries:
+        yield Pages(entries)
 
 
 def _pairs(documents: DataFrame) -> DataFrame:
-    """(anchor, id, hash): each anchor of a document once."""
+    """(anchor, id, hash): the anchors of a document, a few of them more than once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
-            own, rows = [], []
-            for k, text in enumerate(batch.column(2).to_pylist()):
-                found = np.unique(anchors(text.split()))
-                own.append(found)
-                rows.append(np.full(len(found), k))
-            rows = pa.array(np.concatenate(rows) if rows else [], pa.int64())
-            yield {"anchor": np.concatenate(own) if own else [], "id": batch.column(0).take(rows), "hash": batch.column(1).take(rows)}
+            for page in pages(batch.column(2).to_pylist()):
+                kept = page.runs()[:-1]
+                rows = pa.array(page.text[kept], pa.int64())
+                yield {"anchor": page.own[kept], "id": batch.column(0).take(rows), "hash": batch.column(1).take(rows)}
 
     return map_batches(documents, run, f"anchor long, id {documents.schema['id'].dataType.simpleString()}, hash long")
 
@@ -102,30 +126,28 @@ def _stretches(documents: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
-            texts, listed = batch.column(2).to_pylist(), batch.column(3).to_pylist()
-            out: dict = {name: [] for name in ("anchor", "parts", "row", "start", "words")}
-            for k, (text, recurring) in enumerate(zip(texts, listed)):
-                words = text.split()
-                own = anchors(words)
-                parts = {r["anchor"]: r["parts"] for r in recurring}
-                wanted = np.isin(own, np.fromiter(parts, np.int64, len(parts)))
-                edges = np.flatnonzero(np.r_[True, own[1:] != own[:-1], True])
-                for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
-                    if wanted[a]:
-                        anchor = int(own[a])
-                        for at in range(a, b, STRETCH):
-                            out["anchor"].append(anchor)
-                            out["parts"].append(parts[anchor])
-                            out["row"].append(k)
-                            out["start"].append(at)
-                            out["words"].append(b" ".join(words[at:min(b, at + STRETCH) + WINDOW - 1]))
-                if len(out["row"]) > 50_000:
-                    yield _with_ids(out, batch)
-                    out = {name: [] for name in out}
-            yield _with_ids(out, batch)
+            listed = [{r["anchor"]: r["hot"] for r in rows} for rows in batch.column(3).to_pylist()]
+            for page in pages(batch.column(2).to_pylist()):
+                edges = page.runs()
+                begin, end = edges[:-1], edges[1:]
+                out: dict = {name: [] for name in ("anchor", "hot", "row", "start", "n", "words")}
+                places = zip(page.own[begin].tolist(), page.text[begin].tolist(), begin.tolist(), end.tolist(), page.at[begin].tolist(), page.word[begin].tolist())
+                for anchor, k, a, b, start, word in places:
+                    hot = listed[k].get(anchor)
+                    if hot is None:
+                        continue
+                    for skip in range(0, b - a, STRETCH):
+                        last = min(b - a, skip + STRETCH) + WINDOW - 2
+                        out["anchor"].append(anchor)
+                        out["hot"].append(hot)
+                        out["row"].append(k)
+                        out["start"].append(start + skip)
+                        out["n"].append(last + 1 - skip)
+                        out["words"].append(page.joined[page.starts[word + skip]:page.stops[word + last]])
+                yield _with_ids(out, batch)
 
     kind = documents.schema["id"].dataType.simpleString()
-    return map_batches(documents, run, f"anchor long, parts int, id {kind}, hash long, start long, words binary")
+    return map_batches(documents, run, f"anchor long, hot boolean, id {kind}, hash long, start long, n int, words binary")
 
 
 def _with_ids(out: dict, batch: pa.RecordBatch) -> dict:
@@ -133,39 +155,28 @@ def _with_ids(out: dict, batch: pa.RecordBatch) -> dict:
     return out | {"id": batch.column(0).take(rows), "hash": batch.column(1).take(rows)}
 
 
-def _phrases(stretches: DataFrame) -> DataFrame:
-    """(anchor, parts, words, id): the first id of each window in the stretches of anchors dealt in parts."""
-    kind = stretches.schema["id"].dataType.simpleString()
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        for batch in batches:
-            first: dict = {}
-            anchor, parts, ids, texts = (batch.column(k).to_pylist() for k in (0, 1, 2, 5))
-            for a, p, i, text in zip(anchor, parts, ids, texts):
-                words = text.split(b" ")
-                for k in range(len(words) - WINDOW + 1):
-                    key = (a, p, b" ".join(words[k:k + WINDOW]))
-                    if key not in first or i < first[key]:
-                        first[key] = i
-            keys = list(first)
-            yield {"anchor": [k[0] for k in keys], "parts": [k[1] for k in keys], "words": [k[2] for k in keys], "id": list(first.values())}
-
-    found = map_batches(stretches, run, f"anchor long, parts int, words binary, id {kind}")
-    return found.groupBy("anchor", "parts", "words").agg(F.min("id").alias("id"))
-
-
 class Shard:
-    """Confirms phrases, compiles them, streams stretches. Rows come by anchor, phrases sent along first, then by id."""
+    """Confirms phrases, compiles them, streams stretches. Rows come by anchor, then by id.
+
+    A stretch that an earlier document has word for word is a confirmed passage as a whole. Each other one is
+    searched once by the automaton of the phrases confirmed with it.
+    """
 
     def __init__(self) -> None:
         self.numbers: dict[bytes, int] = {}
         self.first: dict[tuple, object] = {}      # of the anchor at hand: window -> first id
+        self.whole: dict[bytes, object] = {}      # of the anchor at hand: stretch -> first id
         self.recurring: dict[tuple, object] = {}  # confirmed since the last automaton
         self.waiting: list[tuple] = []
+        self.found: list[tuple] = []              # (place, start, end) in words relative to the place
 
-    def add(self, place: tuple | None, id_: object, text: bytes) -> None:
+    def add(self, place: tuple, id_: object, text: bytes) -> None:
+        known = self.whole.setdefault(text, id_)
+        if known < id_:
+            self.found.append((place, 0, text.count(b" ") + 1))
+            return
         number = self.numbers
-        words = tuple(number.setdefault(w, len(number)) for w in text.split(b" "))
+        words = tuple([number.setdefault(w, len(number)) for w in text.split(b" ")])
         held = False
         for k in range(len(words) - WINDOW + 1):
             window = words[k:k + WINDOW]
@@ -173,14 +184,14 @@ class Shard:
             if known < id_:
                 self.recurring[window] = known
                 held = True
-        if held and place is not None:
+        if held:
             self.waiting.append((place, id_, words))
 
     def next_anchor(self) -> None:
-        self.first = {}
+        self.first, self.whole = {}, {}
 
-    def search(self) -> Iterator[tuple[tuple, int, int]]:
-        """(place, start, end) in words, relative to the place, of every occurrence in a later document."""
+    def search(self) -> list[tuple]:
+        """Every occurrence in a later document since the last search."""
         if self.waiting:
             automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
             for window, first in self.recurring.items():
@@ -194,75 +205,81 @@ class Shard:
                             end = last + 1
                             continue
                         if end is not None:
-                            yield place, start, end
+                            self.found.append((place, start, end))
                         start, end = last - WINDOW + 1, last + 1
                 if end is not None:
-                    yield place, start, end
-        self.waiting, self.recurring = [], {}
+                    self.found.append((place, start, end))
+        done, self.found, self.waiting, self.recurring = self.found, [], [], {}
+        return done
 
     def forget_words(self) -> None:
-        self.numbers, self.first = {}, {}
+        self.numbers = {}
+        self.next_anchor()
 
 
 def _locate(rows: DataFrame, shard_rows: int) -> DataFrame:
-    """(id, hash, start, stop): ranges of words to remove. ``rows`` lie by (anchor, part), in order."""
+    """(anchor, id, hash, base, start, stop): words to remove, counted from ``base``. ``rows`` lie by anchor, then id."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         shard, now = Shard(), None
         for batch in batches:
-            anchor, part, phrase, ids, hashes, starts, texts = (batch.column(k).to_pylist() for k in range(7))
-            out: dict = {"id": [], "hash": [], "start": [], "stop": []}
-            for a, p, is_stretch, i, h, start, text in zip(anchor, part, phrase, ids, hashes, starts, texts):
-                if (a, p) != now:
-                    now = (a, p)
+            out: dict = {name: [] for name in ("anchor", "id", "hash", "base", "start", "stop")}
+            for a, i, h, base, text in zip(*(batch.column(k).to_pylist() for k in range(5))):
+                if a != now:
+                    now = a
                     shard.next_anchor()
                     if len(shard.waiting) >= shard_rows:
                         _collect(shard, out)
                         shard.forget_words()
-                shard.add((i, h, start) if is_stretch else None, i, text)
+                shard.add((a, i, h, base), i, text)
                 if len(shard.waiting) >= 4 * shard_rows:  # within one anchor: its phrases stay
                     _collect(shard, out)
             _collect(shard, out)
             yield out
 
     kind = rows.schema["id"].dataType.simpleString()
-    return map_batches(rows, run, f"id {kind}, hash long, start long, stop long")
+    return map_batches(rows, run, f"anchor long, id {kind}, hash long, base long, start long, stop long")
 
 
 def _collect(shard: Shard, out: dict) -> None:
-    for (i, h, start), a, b in shard.search():
-        out["id"].append(i)
-        out["hash"].append(h)
-        out["start"].append(start + a)
-        out["stop"].append(start + b)
+    for (a, i, h, base), start, stop in shard.search():
+        for name, value in zip(out, (a, i, h, base, start, stop)):
+            out[name].append(value)
+
+
+REPRESENTATIVE = -1  # as a base: a stretch that stands for all its copies
 
 
 def repeated_ranges(documents: DataFrame, common: int = 4096, shard_rows: int = 2000) -> DataFrame:
     """(id, hash, ranges) of the documents (id, hash, text) with words to remove.
 
-    ``common``: an anchor that more documents have is dealt over one shard for each so many of them.
-    ``shard_rows``: stretches searched with one automaton.
+    ``common``: how many documents have an anchor before its equal stretches are added up first; the ranges
+    are the same on either side of it. ``shard_rows``: stretches searched with one automaton.
     """
     spark = documents.sparkSession
     counted = _pairs(documents).groupBy("anchor").agg(F.min("id").alias("first"), F.max("id").alias("last"), F.count(F.lit(1)).alias("n"))
-    recurring = settle(
-        counted.where("first < last").select("anchor", F.ceil(F.col("n") / common).cast("int").alias("parts")), "anchors")
+    recurring = settle(counted.where("first < last").select("anchor", (F.col("n") > common).alias("hot")), "anchors")
     release(spark)
     listed = settle(
         _pairs(documents).join(recurring, "anchor").groupBy("id", "hash")
-        .agg(F.collect_set(F.struct("anchor", "parts")).alias("anchors")), "document-anchors")
+        .agg(F.collect_set(F.struct("anchor", "hot")).alias("anchors")), "document-anchors")
+    release(spark)
+    stretches = settle_dense(_stretches(documents.join(listed, ["id", "hash"]).select("id", "hash", "text", "anchors")), "stretches")
     release(spark)
-    stretches = settle(_stretches(documents.join(listed, ["id", "hash"]).select("id", "hash", "text", "anchors")), "stretches")
+    hot = stretches.where("hot")
+    firsts = settle_dense(hot.groupBy("anchor", "words").agg(F.min("id").alias("first")), "first-stretches")
+    rows = stretches.where("NOT hot").select("anchor", "id", "hash", F.col("start").alias("base"), "words").union(
+        firsts.select("anchor", "first", F.xxhash64("words"), F.lit(REPRESENTATIVE).cast("long"), "words"))
+    located = settle(_locate(rows.repartition("anchor").sortWithinPartitions("anchor", "id"), shard_rows), "located")
     release(spark)
-    own = stretches.select(
-        "anchor", F.pmod(F.xxhash64("id", "hash"), F.col("parts")).cast("int").alias("part"), F.lit(True).alias("is_stretch"),
-        "id", "hash", "start", "words")
-    sent = _phrases(stretches.where("parts > 1")).select(
-        "anchor", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(False).alias("is_stretch"),
-        "id", F.lit(0).cast("long").alias("hash"), F.lit(0).cast("long").alias("start"), "words")
-    rows = own.union(sent).repartition("anchor", "part").sortWithinPartitions("anchor", "part", "is_stretch", "id")
-    found = _locate(rows, shard_rows).groupBy("id", "hash").agg(F.collect_set(F.struct("start", "stop")).alias("ranges"))
-    found = settle(found, "ranges")
+    direct = located.where(F.col("base") != REPRESENTATIVE).select("id", "hash", (F.col("base") + F.col("start")).alias("start"), (F.col("base") + F.col("stop")).alias("stop"))
+    of_first = hot.withColumn("words_hash", F.xxhash64("words")).alias("h").join(
+        located.where(F.col("base") == REPRESENTATIVE).alias("l"),
+        F.expr("h.anchor = l.anchor AND h.words_hash = l.hash AND h.id = l.id")).select(
+        "h.id", "h.hash", F.expr("h.start + l.start").alias("start"), F.expr("h.start + l.stop").alias("stop"))
+    copies = hot.join(firsts, ["anchor", "words"]).where("id > first").select("id", "hash", "start", (F.col("start") + F.col("n")).alias("stop"))
+    ranges = direct.union(of_first).union(copies).groupBy("id", "hash").agg(F.collect_set(F.struct("start", "stop")).alias("ranges"))
+    found = settle(ranges, "ranges")
     release(spark)
     return found
 
