@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -46,7 +47,7 @@ def shared_folder(spark: SparkSession) -> str:
     if named:
         return named.rstrip("/")
     context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):  # local-cluster has executors of its own
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
     existing = getattr(context, "_linkloom_folder", None)
     if existing is None:
