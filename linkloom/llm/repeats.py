@@ -250,7 +250,7 @@ def _collect(shard: Shard, out: dict) -> None:
 REPRESENTATIVE = -1  # as a base: a stretch that stands for all its copies
 
 
-def repeated_ranges(documents: DataFrame, common: int = 4096, shard_rows: int = 2000) -> DataFrame:
+def repeated_ranges(documents: DataFrame, common: int = 512, shard_rows: int = 2000) -> DataFrame:
     """(id, hash, ranges) of the documents (id, hash, text) with words to remove.
 
     ``common``: how many documents have an anchor before its equal stretches are added up first; the ranges
@@ -285,7 +285,7 @@ def repeated_ranges(documents: DataFrame, common: int = 4096, shard_rows: int =
 
 
 def keep_first(df: DataFrame, id_column: str = "doc_id", text_column: str = "text", with_text: bool = False,
-               common: int = 4096, shard_rows: int = 2000) -> DataFrame:
+               common: int = 512, shard_rows: int = 2000) -> DataFrame:
     """``id``, ``n_words``, ``n_removed``, ``kept_sha256`` of every row, and ``kept`` (the text left) where asked for.
 
     A word goes if it lies in a window of 13 words that also starts in a document with a smaller id; what
