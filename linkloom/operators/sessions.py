@@ -33,7 +33,7 @@ NO_STATS = "no statistics"
 
 def moment(as_of: Column | None) -> Column:
     """The time given, or the time of this call, the same for all that is made of it."""
-    return F.lit(dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)) if as_of is None else as_of
+    return F.lit(dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)).cast("timestamp_ntz") if as_of is None else as_of
 
 
 def credential(password: Column) -> Column:

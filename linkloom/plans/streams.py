@@ -2,20 +2,23 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from linkloom.functions.scalars import body_field
 from linkloom.operators import sessions as N
-from linkloom.operators.schema import TOKEN
+from linkloom.operators.schema import TOKEN, USER
 from linkloom.plans.links import CONTENT_SQL
 from linkloom.plans.registry import query
 from linkloom.plans.search import TEXT, _ranked
 from linkloom.plans.sessions import _CHECK_SQL, as_of, token_of, tokens, users
 from linkloom.session import work_path
 from linkloom.sources.snapshots import SnapshotTable
-from linkloom.sources.tables import table_stream
+from linkloom.sources.tables import table, table_stream
 from linkloom.streaming import chat, keyed, messages
 from linkloom.streaming.run import run_batches, run_to_table
+from linkloom.streaming.service import Service
 from linkloom.streaming.stores import PageIndexLog, renew_sessions
 
 _CODE = "CAST(CAST('0x' || substr(md5(user_id || '|' || event_id), 1, 5) AS BIGINT) AS VARCHAR)"
@@ -155,3 +158,80 @@ def stream_index(spark, sf):
         F.lit(100).alias("limit"), F.lit(0).alias("offset"),
     )
     return log.search_many(asked, deepest=100).drop("query_id")
+
+
+# The service's messages, made from orders: a sign-up of a new or a known customer, a login, an index request.
+_KIND_SQL = "CASE o_orderkey % 3 WHEN 0 THEN 'singup' WHEN 1 THEN 'login' ELSE 'index' END"
+
+
+def _service(spark, sf):
+    """All messages through the service in four batches, each with the tables its predecessor left."""
+    orders = table(spark, sf, "orders")
+    kind = F.element_at(F.array(*map(F.lit, ("singup", "login", "index"))), (F.col("o_orderkey") % 3 + 1).cast("int"))
+    name = F.concat(F.lit("Customer#"), F.lpad(F.col("o_custkey").cast("string"), 9, "0"))
+    mail = F.concat(F.lower(name), F.lit("@mail.test"))
+    new_mail = F.concat(F.lit("new"), F.col("o_orderkey").cast("string"), F.lit("@mail.test"))
+    fields = {
+        "email": F.when((kind == "singup") & (F.col("o_orderstatus") != "F"), new_mail).otherwise(mail),
+        "password": F.when((kind == "login") & (F.col("o_orderstatus") == "F"), F.lit("wrong")).otherwise(name),
+        "name": F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_orderpriority")),
+        "domain": F.concat(F.lit("https://site"), F.col("o_custkey").cast("string")),
+        "token": F.when(F.col("o_orderstatus") == "F", F.lit("unknown")).when(F.col("o_orderstatus") == "O", token_of(F.col("o_custkey"))),
+    }
+    sent = messages.request_messages(orders, kind, F.col("o_orderkey"), **fields)
+    base = work_path(spark, "service")
+    sent.repartition(4, "message_id").write.parquet(f"{base}/in")
+    stream = spark.readStream.schema(sent.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in")
+    known_users = SnapshotTable(spark, f"{base}/users", USER)
+    known_users.write(users(spark, sf))
+    known_tokens = SnapshotTable(spark, f"{base}/tokens", TOKEN, ["token"])
+    known_tokens.write(tokens(spark, sf))
+    crawled = table(spark, sf, "orders").filter("o_custkey % 2 = 0").select(
+        F.concat(F.lit("https://site"), F.col("o_custkey").cast("string")).alias("domain"), F.lit(1).cast("bigint").alias("author_id"),
+        as_of().alias("time"), F.lit(1).cast("bigint").alias("pages_count")).distinct()
+    service = Service(known_users, known_tokens, crawled, f"{base}/out")
+    run_batches(stream, service.handler(as_of()), f"{base}/checkpoint")
+    return service
+
+
+@query(f"""
+SELECT o_orderkey AS message_id, CASE WHEN o_orderpriority <> '5-LOW' AND o_orderstatus <> 'F' THEN 'Ok' ELSE 'error' END AS status,
+  CASE WHEN o_orderpriority = '5-LOW' THEN 'missing parameter' WHEN o_orderstatus = 'F' THEN 'email is taken' END AS message, 'reply' AS source
+FROM orders WHERE o_orderkey % 3 = 0
+UNION ALL
+SELECT NULL, 'new' || o_orderkey || '@mail.test', o_orderpriority, 'user' FROM orders
+WHERE o_orderkey % 3 = 0 AND o_orderpriority <> '5-LOW' AND o_orderstatus <> 'F'
+""")
+def stream_signup(spark, sf):
+    """Replies to sign-ups over four batches, and the users they added."""
+    service = _service(spark, sf)
+    added = service.users.read().filter(F.startswith("email", F.lit("new")))
+    told = service.replies("signup").withColumn("source", F.lit("reply"))
+    return told.union(added.select(F.lit(None).cast("bigint"), "email", "name", F.lit("user")))
+
+
+@query(f"""
+SELECT o_orderkey AS message_id, CASE WHEN o_orderstatus = 'F' THEN 'error' ELSE 'Ok' END AS status,
+  CASE WHEN o_orderstatus = 'F' THEN 'password or email not correct' END AS message, 'reply' AS source
+FROM orders WHERE o_orderkey % 3 = 1
+UNION ALL
+SELECT o_custkey, 'renewed', NULL, 'token' FROM orders WHERE o_orderkey % 3 = 1 AND o_orderstatus <> 'F' GROUP BY o_custkey
+""")
+def stream_login(spark, sf):
+    """Replies to logins over four batches, and whose tokens they renewed."""
+    service = _service(spark, sf)
+    day = F.lit(dt.timedelta(days=1))
+    renewed = service.tokens.read().join(service.users.read().filter(~F.startswith("email", F.lit("new"))).select(F.col("id").alias("user_id")), "user_id", "left_semi")
+    renewed = renewed.filter(F.col("expire_date") == as_of() + day).select("user_id", F.lit("renewed"), F.lit(None).cast("string"), F.lit("token"))
+    return service.replies("login").withColumn("source", F.lit("reply")).union(renewed)
+
+
+@query(f"""
+SELECT o_orderkey AS message_id, 'https://site' || o_custkey AS domain, CASE WHEN o_orderstatus = 'O' THEN o_custkey END AS author_id,
+  CASE o_orderstatus WHEN 'P' THEN 'forbidden' WHEN 'F' THEN 'token is not valid' ELSE
+    CASE WHEN o_custkey % 2 = 0 THEN 'fresh' ELSE 'accepted' END END AS outcome
+FROM orders WHERE o_orderkey % 3 = 2
+""")
+def stream_index_requests(spark, sf):
+    """Outcomes of index requests over four batches."""
+    return _service(spark, sf).replies("index")

@@ -168,3 +168,42 @@ def test_stream_of_folder_and_file(spark, sf, tmp_path):
     assert run_to_table(table_stream(spark, sf, "region"), "t").count() == 5
     spark.range(10).repartition(3).write.parquet(str(tmp_path / "nums.parquet"))
     assert run_to_table(table_stream(spark, str(tmp_path), "nums", 1), "t").count() == 10
+
+
+def test_service_batches_are_applied_once(spark, tmp_path):
+    from linkloom.operators.schema import USER
+    from linkloom.streaming.messages import request_messages
+    from linkloom.streaming.service import Service
+
+    rows = [(1, "singup", "a@t", "p", "A", None, None), (2, "singup", "a@t", "q", "B", None, None), (3, "login", "a@t", "p", None, None, None),
+            (4, "login", "a@t", "no", None, None, None), (5, "index", None, None, None, "d", None), (6, "other", None, None, None, None, None)]
+    df = spark.createDataFrame(rows, "id long, kind string, email string, password string, name string, domain string, token string")
+    batch = request_messages(df, F.col("kind"), F.col("id"), **{c: F.col(c) for c in ("email", "password", "name", "domain", "token")})
+    users = SnapshotTable(spark, str(tmp_path / "users"), USER)
+    tokens = SnapshotTable(spark, str(tmp_path / "tokens"), TOKEN, ["token"])
+    stats = spark.createDataFrame([], "domain string, author_id long, time timestamp_ntz, pages_count long")
+    service = Service(users, tokens, stats, str(tmp_path / "out"))
+    handle = service.handler()
+    for _ in range(2):
+        handle(batch, 0)
+        assert {r["message_id"]: (r["status"], r["message"]) for r in service.replies("signup").collect()} == {1: ("Ok", None), 2: ("error", "email is taken")}
+        assert {r["message_id"]: r["status"] for r in service.replies("login").collect()} == {3: "Ok", 4: "error"}
+        assert [tuple(r) for r in service.replies("index").collect()] == [(5, "d", None, "forbidden")]
+        assert users.read().count() == 1 and tokens.read().count() == 1
+    token = tokens.read().first()["token"]
+    handle(request_messages(spark.createDataFrame([(7, "e", token)], "id long, domain string, token string"), F.lit("index"), F.col("id"),
+                            domain=F.col("domain"), token=F.col("token")), 1)
+    assert [tuple(r) for r in service.accepted_roots().collect()] == [("e", 0)]
+
+
+def test_crawl_to_index(spark):
+    from linkloom.operators.crawls import crawl_index
+
+    pages = spark.createDataFrame(
+        [("https://a.t", "<a href='/1'>x</a>", None), ("https://a.t/1", "<a href='/2'>y</a> <a href='/3'>z</a>", 200), ("https://a.t/2", "gone", 404), ("https://b.t", "other", None)],
+        "url string, html string, status int")
+    asked = spark.createDataFrame([("https://a.t", 1), ("https://a.t", 2), ("https://c.t", 3)], "root string, author_id long")
+    made = crawl_index(pages, asked)
+    assert {tuple(r) for r in made.documents.collect()} == {("httpsa.t", "https://a.t", "x"), ("httpsa.t", "https://a.t/1", "y z")}
+    assert {(r["domain"], r["author_id"], r["pages_count"]) for r in made.statistics.collect()} == {
+        ("https://a.t", 1, 2), ("https://a.t", 2, 2), ("https://c.t", 3, 0)}
