@@ -1,3 +1,4 @@
+import functools
 import zlib
 
 import numpy as np
@@ -13,12 +14,14 @@ from linkloom.llm import packing
 CAPACITY = packing.CAPACITY
 
 
+@functools.cache
 def tokenizer():
     made = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     made.encode_special_tokens = True
     return made
 
 
+@functools.cache
 def both():
     return packing.Tokens(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
