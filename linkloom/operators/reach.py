@@ -100,9 +100,10 @@ def crawl(
 
 
 def crawl_requests(pages: DataFrame, requests: DataFrame) -> DataFrame:
-    """Reach for requested roots with who asked, (root, author_id, url, depth).
+    """Reach for requested roots (root, author_id[, url]) with who asked, (root, author_id, url, depth).
 
-    A root asked for several times is crawled once.
+    A root asked for several times is crawled once, from all the starts asked for.
     """
-    reached = crawl(pages, requests.select("root").distinct())
+    starts = requests.select("root", *(["url"] if "url" in requests.columns else [])).distinct()
+    reached = crawl(pages, starts)
     return requests.select("root", "author_id").distinct().join(reached, "root")
