@@ -23,6 +23,8 @@ from linkloom.llm.common import map_batches, named
 
 #: Elements whose text is never shown as text.
 HIDDEN = frozenset("script style noscript template title svg math iframe object canvas audio video select option datalist textarea button xmp noembed noframes".split())
+#: Roots of foreign content, where a slash before the ``>`` closes an element. HTML's own elements ignore the slash.
+FOREIGN = frozenset("svg math".split())
 #: Elements inside a line; every other element begins and ends a block.
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark meta q rp rt ruby s samp small span strike strong "
@@ -80,11 +82,13 @@ _RAW = {tag: re.compile(rf"</{tag}(?=[\s/>])", re.I) for tag in ("script", "styl
 
 
 def tokenize(html: str) -> Iterator[tuple[str, str, dict]]:
-    """("start" or "end", tag, attributes) and ("text", text, {}) in page order, each character looked at once.
+    """("start", "single" or "end", tag, attributes) and ("text", text, {}) in page order, each character looked at once.
 
-    What is left open (a tag, a comment, an attribute's quote, a script) goes on to the end of the page.
+    A single element is one of foreign content that closes itself. What is left open (a tag, a comment, an
+    attribute's quote, a script) goes on to the end of the page.
     """
     at, n = 0, len(html)
+    foreign: Counter = Counter()  # roots of foreign content that are open
     while at < n:
         lt = html.find("<", at)
         if lt < 0:
@@ -98,7 +102,8 @@ def tokenize(html: str) -> Iterator[tuple[str, str, dict]]:
             tag, at = name[0].lower(), name.end()
             attributes: dict[str, str] = {}
             while True:
-                at = _BEFORE_ATTRIBUTE.match(html, at).end()
+                before = _BEFORE_ATTRIBUTE.match(html, at)
+                at = before.end()
                 if at >= n:
                     return
                 if html[at] == ">":
@@ -119,6 +124,11 @@ def tokenize(html: str) -> Iterator[tuple[str, str, dict]]:
                         value, at = unquoted[0], unquoted.end()
                 attributes.setdefault(key[0].lower(), value)
             at += 1
+            if before[0].endswith("/") and (tag in FOREIGN or foreign.total()):
+                yield "single", tag, attributes
+                continue
+            if tag in FOREIGN:
+                foreign[tag] += 1
             yield "start", tag, attributes
             if tag in _RAW:
                 end = _RAW[tag].search(html, at)
@@ -136,7 +146,10 @@ def tokenize(html: str) -> Iterator[tuple[str, str, dict]]:
                 return
             name, at = _TAG_NAME.match(html, lt + 2), end + 1
             if name and html[lt + 1] == "/":
-                yield "end", name[0].lower(), {}
+                tag = name[0].lower()
+                if foreign[tag]:  # looking up adds nothing
+                    foreign[tag] -= 1
+                yield "end", tag, {}
         else:
             yield "text", "<", {}
             at = lt + 1
@@ -229,7 +242,7 @@ def blocks(html: str) -> list[Block]:
             page.text(what)
         elif kind == "start":
             page.start(what, attributes)
-        else:
+        elif kind == "end":
             page.end(what)
     page.flush()
     return page.made

@@ -20,6 +20,14 @@ def test_a_page():
     assert hc.main_text(PAGE) == "\n\n".join(["Title & more", f"{LONG} Next line <b>.", "Short.", "One", "Two", LONG])
 
 
+def test_self_closed_icons_hide_nothing():
+    article = f"<article><p>{LONG}</p><svg><path d='M0'></path><title/></svg><p>{LONG}</p></article>"
+    for icon in ("<svg class='icon'/>", "<svg width=5 />", "<SVG/>", "<math/>", "<svg><svg/><path/><title/><style/></svg>", "<svg><math/></svg>", "<svg></svg>"):
+        assert hc.main_text(f"<body><div>{icon}</div>{article}</body>") == f"{LONG}\n\n{LONG}", icon
+    assert hc.main_text(f"<body><svg width=5/>hidden</svg>{article}</body>") == f"{LONG}\n\n{LONG}"  # the slash is the value's
+    assert hc.main_text(f"<body><article><div/><p>{LONG}</p></article></body>") == LONG
+
+
 def test_given_pages_give_their_articles(spark):
     rows = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
     found = {r.page_id: r.text for r in hc.extract(rows, carry={"page_id": F.col("page_id")}).collect()}
