@@ -2,8 +2,8 @@
 
 The patterns give the base spans. The tagger learns from labelled spans, and from the same spans rewritten
 as people write them to get past patterns (``name [at] host dot org``, a number without its plus), and
-adds spans. Only text near a digit, an @ or a spelled one is decoded: no span of the four kinds is
-possible elsewhere. Long stretches are decoded in overlapping windows; a span must be found by most of
+adds spans. Only text near a digit, an @, or a spelled "at" or "dot" between the parts of an address is
+decoded: no span of the four kinds is possible elsewhere. Long stretches are decoded in overlapping windows; a span must be found by most of
 the windows that hold it, and where spans overlap the best supported set over the whole text is kept.
 """
 
@@ -107,14 +107,20 @@ REACH = 48      # characters of context around a trigger
 WINDOW = 128    # characters decoded together
 STRIDE = 64
 _TRIGGER = re.compile("[0-9@]")
-_SPELLED = re.compile(r"(?<![A-Za-z])(?:at|AT|dot|DOT)(?![A-Za-z])")
+# The spelled marks of ``plausible`` as they stand in an address: an "at" after a local part and before a host of two
+# labels, a "dot" between address characters. Matches may overlap and each run of white space is looked at a few times only.
+_DOT_MARK = r"(?:\s*+[\[({<]\s*+(?:dot|DOT|\.)\s*+[\])}>]\s*+|\s++(?:dot|DOT)\s++)"
+_AT_MARK = r"(?:\s*+[\[({<]\s*+(?:at|AT)\s*+[\])}>]\s*+|\s++(?:at|AT)\s++)"
+_SPELLED = re.compile(
+    rf"(?=[\s\[({{<])(?<=[A-Za-z0-9._%+\-\])}}>])(?=({_AT_MARK}[A-Za-z0-9-]++(?:\.|{_DOT_MARK})|{_DOT_MARK})[A-Za-z0-9-])")
 
 
 def regions(text: str) -> list[tuple[int, int]]:
     """Stretches around everything that a span of any kind must hold, merged where they touch."""
     marks = [m.start() for m in _TRIGGER.finditer(text)]
-    if any(x in text for x in (" dot ", "[dot]", "(dot)", "{dot}", " DOT ", "[DOT]", "(DOT)", "[at]", "(at)", "{at}", "[AT]", "(AT)")):
-        marks = sorted(marks + [m.start() for m in _SPELLED.finditer(text)])
+    spelled = [at for m in _SPELLED.finditer(text) for at in m.span(1)]
+    if spelled:
+        marks = sorted(marks + spelled)
     made: list[tuple[int, int]] = []
     for at in marks:
         a, b = max(0, at - REACH), min(len(text), at + REACH)

@@ -86,6 +86,30 @@ def test_what_patterns_miss(tagger):
     assert total > 50 and hits / total > 0.8
 
 
+def test_every_spelled_form_is_decoded_alone():
+    ats = [a + mark + b for mark in ("at", "AT") for a, b in [(" ", " "), *((o + i, i + c) for x, y in ("[]", "()", "{}", "<>") for i in ("", " ") for o, c in ((x, y), (" " + x, y + " ")))]]
+    dots = [".", *(f"{a}{mark}{b}" for mark in ("dot", "DOT") for a, b in (" " * 2, "[]", "()", "{}", "<>", (" [ ", " ] ")))]
+    for at in ats + [" at\n", "\tat  "]:
+        for dot in dots:
+            span = f"jane.doe{at}example{dot}com"
+            text = f"the ander thation of the {span} ened in the reatth"
+            if pii.plausible("email", span):
+                assert any(a <= 25 and 25 + len(span) <= b for a, b in pii.regions(text)), span
+    assert pii.plausible("email", "jane.doe at example.com") and pii.plausible("email", "jane[dot]doe < at >example.com")
+    assert pii.regions("at at jane at x.com") and pii.regions("jane[dot] at x.com")
+    assert pii.regions("meet at noon. And the dots at (at) the end") == []
+
+
+def test_spelled_addresses_without_digits_are_found(tagger):
+    draw, word = random.Random(1), lambda: "".join(draw.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(draw.randint(3, 8)))
+    for at in (" at ", " AT ", "[at]", " [at] ", "(at)", " (at) ", "[ at ]", "( at )", "<at>"):
+        hits = 0
+        for k in range(40):
+            span = f"{word()}.{word()}{at}{word()}.{draw.choice(['com', 'org', 'net', 'de'])}"
+            hits += ("email", span) in found(tagger, f"the ander thation of the {span} ened in the reatth")
+        assert hits >= 20, (at, hits)
+
+
 def test_harmless_digits_are_left_alone(tagger):
     draw, texts = random.Random(11), []
     for _ in range(300):
