@@ -8,9 +8,10 @@
    stretches through it. A phrase and all places that may hold it always meet in one shard.
 3. The places found are gathered by document.
 
-Where very many documents have an anchor, equal stretches are added up before the shuffle: only one of them,
-with its first id, goes to the shard. The other ones are copies of it as a whole, found by a join that
-Spark splits where one stretch is very common.
+Where very many documents have an anchor, no shard takes it. Equal stretches are added up before the shuffle:
+one of them stands for all, with its first id. The windows of those are grouped by their words, with the least
+id of each found in partial sums, and joined back where an earlier document has them. The other stretches are
+copies of one as a whole. Spark splits both joins where one window or stretch is very common.
 """
 
 from __future__ import annotations
@@ -247,14 +248,44 @@ def _collect(shard: Shard, out: dict) -> None:
             out[name].append(value)
 
 
-REPRESENTATIVE = -1  # as a base: a stretch that stands for all its copies
+def _windows(firsts: DataFrame) -> DataFrame:
+    """(anchor, id, hash, start, window): every window of stretches (anchor, words, first), ``hash`` that of the stretch."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 512):
+                part = batch.slice(at, 512)
+                rows, start, made = [], [], []
+                for row, text in enumerate(part.column(3).to_pylist()):
+                    words = text.split(b" ")
+                    count = len(words) - WINDOW + 1
+                    rows += [row] * count
+                    start += range(count)
+                    made += [b" ".join(words[k:k + WINDOW]) for k in range(count)]
+                taken = pa.array(rows, pa.int64())
+                yield {name: part.column(k).take(taken) for k, name in enumerate(("anchor", "id", "hash"))} | {"start": start, "window": made}
+
+    source = firsts.select("anchor", F.col("first").alias("id"), F.xxhash64("words").alias("hash"), "words")
+    kind = source.schema["id"].dataType.simpleString()
+    return map_batches(source, run, f"anchor long, id {kind}, hash long, start long, window binary")
+
+
+def _locate_windows(firsts: DataFrame) -> DataFrame:
+    """(anchor, id, hash, start, stop): windows of stretches that an earlier document has. No anchor meets in one task."""
+    windows = _windows(firsts)
+    recurring = settle_dense(
+        windows.groupBy("anchor", "window").agg(F.min("id").alias("least"), F.max("id").alias("most"))
+        .where("least < most").select("anchor", "window", "least"), "recurring-windows")
+    release(firsts.sparkSession)
+    return windows.join(recurring, ["anchor", "window"]).where("id > least").select(
+        "anchor", "id", "hash", "start", (F.col("start") + WINDOW).alias("stop"))
 
 
 def repeated_ranges(documents: DataFrame, common: int = 512, shard_rows: int = 2000) -> DataFrame:
     """(id, hash, ranges) of the documents (id, hash, text) with words to remove.
 
-    ``common``: how many documents have an anchor before its equal stretches are added up first; the ranges
-    are the same on either side of it. ``shard_rows``: stretches searched with one automaton.
+    ``common``: how many documents have an anchor before its stretches are added up and compared by windows,
+    not in a shard; what goes is the same on either side of it. ``shard_rows``: stretches searched with one automaton.
     """
     spark = documents.sparkSession
     counted = _pairs(documents).groupBy("anchor").agg(F.min("id").alias("first"), F.max("id").alias("last"), F.count(F.lit(1)).alias("n"))
@@ -268,13 +299,14 @@ def repeated_ranges(documents: DataFrame, common: int = 512, shard_rows: int = 2
     release(spark)
     hot = stretches.where("hot")
     firsts = settle_dense(hot.groupBy("anchor", "words").agg(F.min("id").alias("first")), "first-stretches")
-    rows = stretches.where("NOT hot").select("anchor", "id", "hash", F.col("start").alias("base"), "words").union(
-        firsts.select("anchor", "first", F.xxhash64("words"), F.lit(REPRESENTATIVE).cast("long"), "words"))
+    rows = stretches.where("NOT hot").select("anchor", "id", "hash", F.col("start").alias("base"), "words")
     located = settle(_locate(rows.repartition("anchor").sortWithinPartitions("anchor", "id"), shard_rows), "located")
     release(spark)
-    direct = located.where(F.col("base") != REPRESENTATIVE).select("id", "hash", (F.col("base") + F.col("start")).alias("start"), (F.col("base") + F.col("stop")).alias("stop"))
+    within = settle(_locate_windows(firsts), "located-windows")
+    release(spark)
+    direct = located.select("id", "hash", (F.col("base") + F.col("start")).alias("start"), (F.col("base") + F.col("stop")).alias("stop"))
     of_first = hot.withColumn("words_hash", F.xxhash64("words")).alias("h").join(
-        located.where(F.col("base") == REPRESENTATIVE).alias("l"),
+        within.alias("l"),
         F.expr("h.anchor = l.anchor AND h.words_hash = l.hash AND h.id = l.id")).select(
         "h.id", "h.hash", F.expr("h.start + l.start").alias("start"), F.expr("h.start + l.stop").alias("stop"))
     copies = hot.join(firsts, ["anchor", "words"]).where("id > first").select("id", "hash", "start", (F.col("start") + F.col("n")).alias("stop"))

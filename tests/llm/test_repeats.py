@@ -48,6 +48,22 @@ def test_made_documents_against_brute_force(spark, seed, common, shard_rows):
     assert sorted(((r.id, r.n_words, r.n_removed, r.kept_sha256) for r in found), key=str) == plain(rows)
 
 
+def test_no_shard_takes_a_common_anchor(spark, monkeypatch):
+    passage = " ".join(f"w{k}" for k in range(20))
+    rows = [(k, f"{' '.join(f'a{k}x{j}' for j in range(9))} {passage} {' '.join(f'b{k}x{j}' for j in range(9))}") for k in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    most, locate = [], repeats._locate
+
+    def watched(stretches, shard_rows):
+        most.append(stretches.groupBy("anchor").count().agg(F.max("count")).first()[0] or 0)
+        return locate(stretches, shard_rows)
+
+    monkeypatch.setattr(repeats, "_locate", watched)
+    found = repeats.keep_first(docs, common=8).collect()
+    assert sorted(((r.id, r.n_words, r.n_removed, r.kept_sha256) for r in found), key=str) == plain(rows)
+    assert max(most) <= 8
+
+
 def test_pieces_of_long_texts(monkeypatch):
     text = " ".join(str(k % 97) + "w" * (k % 5) for k in range(1000)).encode()
 
