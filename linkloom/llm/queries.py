@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkloom.llm import decontaminate, html_content, language, lm, packing, pii, quality, repeats, secrets, simhash
+from linkloom.llm import (
+    decontaminate, embedding_dedup, hard_negatives, html_content, language, lm, packing, pii, quality, repeats, secrets, simhash,
+    whitening,
+)
 from linkloom.llm.common import named, remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -168,3 +171,69 @@ def op10_secrets(spark: SparkSession, folder: str) -> DataFrame:
     forest = secrets.Forest.fit(secrets.features(secrets.labelled_findings(spark)))
     found = secrets.scan(table(spark, folder, "documents"), forest, carry={"doc_id": named("doc_id")})
     return found.select("doc_id", "start", "stop", "kind", F.sha2("candidate", 256).alias("candidate_sha256"), "score", "is_secret")
+
+
+@query
+def op11_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Links and components of the embeddings of each label."""
+    found = embedding_dedup.near_duplicates(table(spark, folder, "embeddings"))
+    return found.select(F.col("id").alias("vec_id"), "n_links", F.col("component").alias("component_id"), "kept")
+
+
+ORACLES["op11_embedding_dedup"] = r"""
+WITH RECURSIVE v AS (
+    SELECT row_number() OVER () AS r, vec_id, label, CAST(embedding AS DOUBLE[]) AS e,
+        label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+            AND len(list_filter(embedding, lambda x: x <> 0)) > 0 AS usable
+    FROM embeddings),
+links AS (
+    SELECT a.r AS src, b.r AS dst FROM v a JOIN v b ON a.label = b.label AND a.r <> b.r AND len(a.e) = len(b.e)
+    WHERE a.usable AND b.usable AND list_cosine_similarity(a.e, b.e) >= 0.98),
+reach AS (
+    SELECT r AS src, r AS dst FROM v
+    UNION SELECT reach.src, links.dst FROM reach JOIN links ON reach.dst = links.src),
+least AS (SELECT src, min(vec_id) AS component_id FROM reach JOIN v ON v.r = dst GROUP BY src),
+degree AS (SELECT src, count(*) AS n FROM links GROUP BY src)
+SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component_id, vec_id IS NOT DISTINCT FROM component_id AS kept
+FROM v JOIN least ON least.src = r LEFT JOIN degree ON degree.src = r
+"""
+
+
+@query
+def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    """The whitened components of every embedding, the fit on each different vector once."""
+    found = whitening.whiten(table(spark, folder, "embeddings"))
+    return found.select(
+        F.col("id").alias("vec_id"), "n", F.col("deviation").cast("long").alias("deviation"), "identity_error", "explained",
+        F.posexplode("whitened").alias("at", "whitened")).select(
+        "vec_id", (F.col("at") + 1).alias("component"), "n", "deviation", "whitened",
+        F.get("explained", "at").alias("explained"), "identity_error")
+
+
+@query
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """Hard negatives of every fiftieth embedding, some labels moved on by one."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0, label=label)
+
+
+ORACLES["op13_hard_negatives"] = r"""
+WITH v AS (
+    SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS c
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scores AS (
+    SELECT a.r AS ar, a.vec_id AS anchor_id, a.label AS own, b.r, b.vec_id, b.label,
+        CAST(list_sum(list_transform(range(1, len(a.c) + 1), lambda i: a.c[i] * b.c[i])) AS BIGINT) AS score
+    FROM v a, v b WHERE a.vec_id % 50 = 0 AND a.r <> b.r),
+positives AS (
+    SELECT *, row_number() OVER (PARTITION BY ar ORDER BY score DESC, vec_id) AS nth FROM scores WHERE label = own),
+ranked AS (
+    SELECT p.anchor_id, p.vec_id AS positive_id, s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score,
+        row_number() OVER (PARTITION BY p.ar, p.nth ORDER BY s.score DESC, s.vec_id) AS rank
+    FROM positives p JOIN scores s ON s.ar = p.ar AND s.label <> s.own AND 50 * p.score <= 100 * s.score AND 100 * s.score <= 95 * p.score
+    WHERE p.nth <= 5)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM ranked WHERE rank <= 3
+"""
