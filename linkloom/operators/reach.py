@@ -4,14 +4,70 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from linkloom.functions.html import hrefs
 from linkloom.functions.urls import url_join
 from linkloom.operators.links import LINK_STOPS, PAGE_STOPS, contains_any, in_site
-from linkloom.session import settle, work_path
+from linkloom.session import work_path
+
+
+class _Tables:
+    """The links and the seen urls of one walk as bucketed tables below one folder.
+
+    Links are bucketed and sorted by where they start, seen urls by (root, url) with a partition for each depth. Both
+    are read bucket by bucket, so in the joins of a level only the level itself and its targets move.
+    """
+
+    def __init__(self, spark: SparkSession, buckets: int | None = None):
+        self.spark = spark
+        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.folder = work_path(spark, "reach")
+        tag = self.folder.rpartition("-")[2]
+        self.links, self.seen = f"reach_links_{tag}", f"reach_seen_{tag}"
+
+    def write_links(self, edges: DataFrame, by: list[str]) -> None:
+        # one task a bucket writes one file, so that the order within a bucket is kept
+        placed = edges.repartition(self.buckets, *by)
+        placed.write.bucketBy(self.buckets, *by).sortBy(*by).option("path", f"{self.folder}/links").saveAsTable(self.links)
+
+    def create_seen(self, start: StructType) -> None:
+        columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in start)
+        self.spark.sql(
+            f"CREATE TABLE {self.seen} ({columns}, depth INT) USING parquet PARTITIONED BY (depth) "
+            f"CLUSTERED BY (root, url) INTO {self.buckets} BUCKETS LOCATION '{self.folder}/seen'")
+
+    def add(self, urls: DataFrame, depth: int) -> int:
+        """Store a level; how many urls it has comes with the write, without another job."""
+        size = Observation()
+        urls = urls.observe(size, F.count(F.lit(1)).alias("urls"))
+        urls.select("root", "url", F.lit(depth).alias("depth")).write.insertInto(self.seen)
+        return size.get["urls"]
+
+    def level(self, depth: int) -> DataFrame:
+        return self.spark.table(self.seen).filter(F.col("depth") == depth).select("root", "url")
+
+    def close(self) -> None:
+        """Take the tables out of the catalog; the files stay."""
+        for table in (self.links, self.seen):
+            self.spark.sql(f"DROP TABLE IF EXISTS {table}")
+
+
+def next_level(level: DataFrame, links: DataFrame, seen: DataFrame, per_root: bool, target: Column) -> DataFrame:
+    """(root, url) that a level leads to and that no level has.
+
+    ``links`` and ``seen`` are bucketed: neither is shuffled. Targets are made distinct before they meet the seen
+    urls, partly before they move, so a page that everything links to is a few rows.
+    """
+    match = F.col("url") == F.col("src")
+    if per_root:
+        match = match & (F.col("root") == F.col("_edge_root"))
+    found = level.join(links, match).select("root", target.alias("url"))
+    found = found.filter(F.col("url").isNotNull()).distinct()
+    # merged bucket by bucket at every size; a broadcast would send all seen urls to all executors
+    return found.join(seen.select("root", "url").hint("merge"), ["root", "url"], "left_anti")
 
 
 def reach(
@@ -19,7 +75,7 @@ def reach(
     roots: DataFrame,
     follow: Callable[[], Column] | None = None,
     max_depth: int | None = None,
-    settled_edges: bool = False,
+    buckets: int | None = None,
 ) -> DataFrame:
     """(root, url, depth): every url once per root, at its smallest depth; roots at depth 0.
 
@@ -27,41 +83,43 @@ def reach(
     ``roots`` is (root) or (root, url) when the start differs from the root. ``follow`` may give
     the target from the columns ``root``, ``url`` and those of ``edges``; null is not followed.
 
-    Each level is one job: the last level joined with the edges, minus what was seen. A level is
-    written as a partition ``depth=d`` of one folder, which is the seen table, the loop state that
-    survives lost executors, and at the end the result. All roots advance in the same jobs. Small
-    levels are broadcast and large ones shuffled, as Spark sizes them; it splits a page with very many links.
+    Links are written once, bucketed by where they start; seen urls go to a table with the same number of
+    buckets, a partition for each depth. A level is one job: the level moves to the links (or is broadcast where
+    Spark finds it small), its targets move to the seen urls, and neither table moves. The table of
+    seen urls is the loop state that survives lost executors, and at the end the result. All roots advance
+    in the same jobs. ``buckets`` is ``spark.sql.shuffle.partitions`` unless given; a shuffle and a bucketed
+    table with the same number of parts need no further exchange.
     """
     spark = edges.sparkSession
-    folder = work_path(spark, "reach")
-    if not settled_edges:
-        edges = settle(edges, "edges")
     per_root = "root" in edges.columns
     if per_root:
         edges = edges.withColumnRenamed("root", "_edge_root")
     start = roots.select("root", (F.col("url") if "url" in roots.columns else F.col("root")).alias("url"))
-    start.distinct().write.parquet(f"{folder}/depth=0")
-    schema = start.schema
     target = follow() if follow else F.col("dst")
-    depth = 0
-    while max_depth is None or depth < max_depth:
-        level = spark.read.schema(schema).parquet(f"{folder}/depth={depth}")
-        match = F.col("url") == F.col("src")
-        if per_root:
-            match = match & (F.col("root") == F.col("_edge_root"))
-        found = level.join(edges, match).select("root", target.alias("url"))
-        found = found.filter(F.col("url").isNotNull()).distinct()
-        # the whole folder as it is now: all levels so far
-        seen = spark.read.schema(schema).parquet(folder)
-        fresh = found.join(seen, ["root", "url"], "left_anti")
-        size = Observation()
-        depth += 1
-        # the count comes with the write, without another job
-        fresh.observe(size, F.count(F.lit(1)).alias("urls")).write.parquet(f"{folder}/depth={depth}")
-        if size.get["urls"] == 0:
-            break
-    levels = spark.read.schema(StructType(schema.fields + [StructField("depth", IntegerType())])).parquet(folder)
-    return levels.select("root", "url", "depth")
+    tables = _Tables(spark, buckets)
+    # a bucket of one file is sorted as it was written; without this Spark sorts the links again at every level
+    settings = {"spark.sql.legacy.bucketedTableScan.outputOrdering": "true", "spark.sql.shuffle.partitions": str(tables.buckets)}
+    before = {name: spark.conf.get(name) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        tables.write_links(edges, ["_edge_root", "src"] if per_root else ["src"])
+        tables.create_seen(start.schema)
+        tables.add(start.filter(F.col("root").isNotNull() & F.col("url").isNotNull()).distinct(), 0)
+        links, seen = spark.table(tables.links), spark.table(tables.seen)
+        depth = 0
+        while max_depth is None or depth < max_depth:
+            fresh = next_level(tables.level(depth), links, seen, per_root, target)
+            depth += 1
+            if not tables.add(fresh, depth):
+                break
+            seen = spark.table(tables.seen)
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+        tables.close()
+    levels = spark.read.schema(StructType(start.schema.fields + [StructField("depth", IntegerType())]))
+    return levels.parquet(f"{tables.folder}/seen").select("root", "url", "depth")
 
 
 def candidate_links(
