@@ -175,7 +175,9 @@ def cell_links(vertices: DataFrame, dims: int, threshold: float, part_rows: int)
     count = vertices.count()
     mean, axes = principal_axes(vertices, count, dims)
     boxed = min(LEADING, dims)
-    splits = min(MOST_AXES, dims, max(0, int(count // part_rows).bit_length()))
+    # cells follow the largest label: where that fits one part, its rows are sent once
+    largest = vertices.groupBy("label", "dims").count().agg(F.max("count")).first()[0]
+    splits = min(MOST_AXES, dims, int((largest - 1) // part_rows).bit_length())
     placed = settle(_placed(vertices, mean, axes, splits), "placed")
     sizes = placed.groupBy("label", "dims", "cell").agg(F.ceil(F.count(F.lit(1)) / part_rows).cast("int").alias("lots"))
     dealt = placed.join(sizes, ["label", "dims", "cell"]).withColumn("lot", F.pmod(F.xxhash64("key"), F.col("lots")).cast("int"))
@@ -226,7 +228,7 @@ def whole_groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Re
 
 
 def near_duplicates(df: DataFrame, id_column: str = "vec_id", label_column: str = "label",
-                    vector_column: str = "embedding", threshold: float = 0.98, part_rows: int = 8192) -> DataFrame:
+                    vector_column: str = "embedding", threshold: float = 0.98, part_rows: int = 16384) -> DataFrame:
     """``id``, ``n_links``, ``component`` and ``kept`` of every row.
 
     Rows are linked when their labels are equal and not null and their vectors' cosine, in double precision, is

@@ -61,7 +61,7 @@ def plain_links(rows, threshold=0.98):
     return sorted((row[0], degree[i], least[root(i)], row[0] == least[root(i)]) for i, row in enumerate(rows))
 
 
-@pytest.mark.parametrize("part_rows", [16, 8192])
+@pytest.mark.parametrize("part_rows", [16, 16384])
 def test_near_duplicates_against_brute_force(spark, part_rows):
     rows = clustered(1, 150)
     found = embedding_dedup.near_duplicates(table(spark, rows), part_rows=part_rows).collect()
