@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,23 +25,32 @@ def _by(df: DataFrame) -> list[str]:
     return ["index_name"] if "index_name" in df.columns else []
 
 
-def postings(documents: DataFrame, mark: str | None = None) -> DataFrame:
-    """([index_name,] url, term, tf, dl): how often a term stands in a document of dl tokens.
+def word_counts(documents: DataFrame) -> DataFrame:
+    """([index_name,] url, dl, words): every document's words with how often it has them, beside its number of tokens.
 
     A document is one row, so its sorted words are counted in runs inside the row and nothing is shuffled.
-    ``mark`` is a term that every document has once. Rows with the same url are different documents.
     """
     by = _by(documents)
-    split = documents.select(*by, "url", F.sort_array(tokens(F.col("content"))).alias("_t"))
-    placed = split.withColumn("_at", F.when(F.size("_t") > 0, F.filter(
-        F.sequence(F.lit(0), F.size("_t") - 1), lambda i: (i == 0) | (F.get("_t", i) != F.get("_t", i - 1)))))
-    runs = F.transform("_at", lambda i, k: F.struct(
+    split = documents.select(*by, "url", F.sort_array(tokens(F.coalesce("content", F.lit("")))).alias("_t"))
+    starts = F.filter(F.sequence(F.lit(0), F.size("_t") - 1), lambda i: (i == 0) | (F.get("_t", i) != F.get("_t", i - 1)))
+    placed = split.withColumn("_at", F.when(F.size("_t") > 0, starts).otherwise(F.array().cast("array<int>")))
+    words = F.transform("_at", lambda i, k: F.struct(
         F.get("_t", i).alias("term"), (F.coalesce(F.get("_at", k + 1), F.size("_t")) - i).cast("bigint").alias("tf")))
+    return placed.select(*by, "url", F.size("_t").cast("bigint").alias("dl"), words.alias("words"))
+
+
+def postings(documents: DataFrame, mark: str | None = None) -> DataFrame:
+    """([index_name,] url, term, tf, dl): how often a term stands in a document of dl tokens.
+
+    ``mark`` is a term that every document has once. Rows with the same url are different documents.
+    """
+    words = F.col("words")
     if mark is not None:
-        own = F.array(F.struct(F.lit(mark).alias("term"), F.lit(1).cast("bigint").alias("tf")))
-        runs = F.when(F.col("_at").isNull(), own).otherwise(F.concat(own, runs))
-    counted = placed.select(*by, "url", F.size("_t").cast("bigint").alias("dl"), F.explode(runs).alias("_r"))
-    return counted.select(*by, "url", "_r.term", "_r.tf", "dl")
+        words = F.concat(F.array(F.struct(F.lit(mark).alias("term"), F.lit(1).cast("bigint").alias("tf"))), words)
+    counted = word_counts(documents)
+    # outer: for a plain explode Spark infers a test of the array's size and would analyze every text once more, word by word
+    each = counted.select(*_by(documents), "url", "dl", F.explode_outer(words).alias("_r"))
+    return each.select(*_by(documents), "url", "_r.term", "_r.tf", "dl").filter(F.col("term").isNotNull())
 
 
 def document_lengths(documents: DataFrame) -> DataFrame:
@@ -84,6 +95,22 @@ def query_terms(queries: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
+def weighted_terms(term_stats: DataFrame, totals: DataFrame, terms: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, [index_name,] term, weight, avgdl): what a query's word adds to a score, but for the document's part."""
+    by = _by(term_stats)
+    weighted = terms.join(term_stats.select(*by, "term", "df"), [*by, "term"])
+    weighted = (
+        weighted.join(totals, by) if by else weighted.withColumns(
+            {c: totals.select(c).scalar() for c in ("n", "total")}
+        )
+    )
+    return weighted.select(
+        *dict.fromkeys([*keys, *by, "term"]),
+        (F.col("qtf") * idf(F.col("n"), F.col("df"))).alias("weight"),
+        (F.col("total") / F.col("n")).alias("avgdl"),
+    )
+
+
 def score(
     postings: DataFrame,
     term_stats: DataFrame,
@@ -98,23 +125,12 @@ def score(
     counted them and they may be broadcast; otherwise Spark sizes the join, and splits the rows of a
     very common term. The sum is partial before its shuffle.
     """
-    by = _by(postings)
-    weighted = terms.join(term_stats.select(*by, "term", "df"), [*by, "term"])
-    weighted = (
-        weighted.join(totals, by) if by else weighted.withColumns(
-            {c: totals.select(c).scalar() for c in ("n", "total")}
-        )
-    )
-    weighted = weighted.select(
-        *dict.fromkeys([*keys, *by, "term"]),
-        (F.col("qtf") * idf(F.col("n"), F.col("df"))).alias("weight"),
-        (F.col("total") / F.col("n")).alias("avgdl"),
-    )
+    weighted = weighted_terms(term_stats, totals, terms, keys)
     if few_terms:
         weighted = F.broadcast(weighted)
     part = F.col("weight") * term_score(F.col("tf"), F.col("dl"), F.col("avgdl"))
     return (
-        postings.join(weighted, [*by, "term"]).groupBy(*keys, "url").agg(
+        postings.join(weighted, [*_by(postings), "term"]).groupBy(*keys, "url").agg(
             (F.sum(in_units(part)) / F.lit(UNIT)).alias("score")
         )
     )
@@ -170,26 +186,45 @@ def search_many(
     without rows is none.
     """
     by = _by(postings)
-    words = F.array_join(F.array_sort(tokens(F.col("q"))), " ")
-    asked = queries.select("query_id", *by, words.alias("words"), "limit", "offset")
-    asked = asked.filter((F.col("words") != "") & (F.col("limit") > 0) & (F.col("offset") >= 0))
-    unique = asked.groupBy(*by, "words").agg(F.min("query_id").alias("scored_as"))
+    asked = asked_queries(queries, by)
     keys = [*by, "scored_as"]
-    terms = query_terms(unique.withColumnRenamed("words", "q"), keys)
-    deepest_asked, term_count = asked.agg(
-        F.coalesce(F.max(F.col("limit").cast("bigint") + F.col("offset")), F.lit(0)),
-        F.coalesce(F.sum(F.size(F.split("words", " "))), F.lit(0)),
+    hits = score(postings, term_stats, totals, asked.terms, keys, asked.term_count <= FEW_TERMS)
+    deepest = asked.deepest if deepest is None else deepest
+    return asked.pages(numbered_between(hits, keys, hit_order(), 1, deepest, "place"))
+
+
+class Asked(NamedTuple):
+    """A table of queries with each set of words once: under the smallest query_id that has it."""
+
+    rows: DataFrame  # query_id, [index_name,] words, limit, offset
+    unique: DataFrame  # [index_name,] words, scored_as, deepest
+    terms: DataFrame  # [index_name,] scored_as, term, qtf
+    deepest: int
+    term_count: int
+
+    def pages(self, top: DataFrame) -> DataFrame:
+        """(query_id, rank, url, score): each query's page of the ranked hits ([index_name,] scored_as, place, url, score)."""
+        by = _by(self.rows)
+        within = (F.col("place") > F.col("offset")) & (F.col("place") <= F.col("offset") + F.col("limit"))
+        return (
+            self.rows.join(self.unique, [*by, "words"])
+            .join(top, [*by, "scored_as"])
+            .filter(within)
+            .select("query_id", (F.col("place") - F.col("offset")).cast("bigint").alias("rank"), "url", "score")
+        )
+
+
+def asked_queries(queries: DataFrame, by: list[str]) -> Asked:
+    words = F.array_join(F.array_sort(tokens(F.col("q"))), " ")
+    rows = queries.select("query_id", *by, words.alias("words"), "limit", "offset")
+    rows = rows.filter((F.col("words") != "") & (F.col("limit") > 0) & (F.col("offset") >= 0))
+    last = F.col("limit").cast("bigint") + F.col("offset")
+    unique = rows.groupBy(*by, "words").agg(F.min("query_id").alias("scored_as"), F.max(last).alias("deepest"))
+    terms = query_terms(unique.withColumnRenamed("words", "q"), [*by, "scored_as"])
+    deepest, term_count = rows.agg(
+        F.coalesce(F.max(last), F.lit(0)), F.coalesce(F.sum(F.size(F.split("words", " "))), F.lit(0))
     ).first()
-    hits = score(postings, term_stats, totals, terms, keys, term_count <= FEW_TERMS)
-    deepest = deepest_asked if deepest is None else deepest
-    top = numbered_between(hits, keys, hit_order(), 1, deepest, "place")
-    within = (F.col("place") > F.col("offset")) & (F.col("place") <= F.col("offset") + F.col("limit"))
-    return (
-        asked.join(unique, [*by, "words"])
-        .join(top, keys)
-        .filter(within)
-        .select("query_id", (F.col("place") - F.col("offset")).cast("bigint").alias("rank"), "url", "score")
-    )
+    return Asked(rows, unique, terms, deepest, term_count)
 
 
 # the number of query terms, over all queries, that may be broadcast to the postings
