@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from linkloom.functions.scalars import encode_body, tokens
 from linkloom.operators.ranks import TOP_ROWS, numbered_between
-from linkloom.session import settle
+from linkloom.session import settle, settle_bucketed
 
 # Fixed values of the ranking formula.
 K1 = 1.2
@@ -252,8 +252,8 @@ def search_documents(documents: DataFrame, queries: DataFrame, deepest: int | No
     """``search_many`` without a stored index.
 
     One pass over the texts writes the postings of the query words and the length of every
-    document, since scores and statistics both need them. They are placed by url, so that scores
-    add up before they are shuffled. Urls must be unique within an index: scores are by url.
+    document, since scores and statistics both need them. They are bucketed by url, so that scores
+    add up in their bucket, and a bucket sends a query's best hits only. Urls must be unique within an index: scores are by url.
     """
     by = _by(documents)
     wanted = query_terms(queries, by).select(*by, "term")
@@ -266,7 +266,7 @@ def search_documents(documents: DataFrame, queries: DataFrame, deepest: int | No
         return marked.filter(F.col("_wanted") | (F.col("term") == MARK)).drop("_wanted")
 
     kept = keep(postings(documents, MARK))
-    small = settle(kept.repartition("url"), "postings")
+    small = settle_bucketed(kept, "postings", "url")
     matches = small.filter(F.col("term") != MARK)
     totals = corpus_totals(small.filter(F.col("term") == MARK))
     return search_many(queries, matches, term_statistics(matches), totals, deepest)
