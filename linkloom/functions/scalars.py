@@ -9,7 +9,12 @@ from pyspark.sql import types as T
 TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 SESSION_LIFE = "interval 1 day"
 RECRAWL_AGE = "interval 30 days"
-NOT_WORD = r"[^\p{L}\p{N}]+"
+# The default analyzer's word boundaries, after the Unicode rules for words.
+LETTERS, DIGITS = r"\p{L}\p{M}", r"\p{N}"
+INSIDE_LETTERS = "'‘’.:·"  # between two letters they are part of the word
+INSIDE_DIGITS = "'‘’.,;"  # between two digits
+SINGLE = r"[\p{IsHan}\p{IsHiragana}]"  # each is a word of its own
+RUN = "[\\p{IsKatakana}ー]++"  # a word, whatever stands beside it
 # The address coupons lead to.
 COUPON_URL = "http://getcolor.ru/#"
 
@@ -96,6 +101,22 @@ def body_field(body: Column, name: str) -> Column:
     return F.get_json_object(body, f"$.{name}")
 
 
+def _between_words() -> str:
+    word = f"{LETTERS}{DIGITS}_{INSIDE_LETTERS}{INSIDE_DIGITS}"
+    joins = f"(?<=[{LETTERS}])[{INSIDE_LETTERS}](?=[{LETTERS}])|(?<=[{DIGITS}])[{INSIDE_DIGITS}](?=[{DIGITS}])"
+    return f"[^{word}]++|(?!{joins})[{INSIDE_LETTERS}{INSIDE_DIGITS}]"
+
+
+# each match is a run or one character: nothing repeats a group, so texts of any length and kind are split in linear time
+BETWEEN_WORDS = _between_words()
+
+
 def tokens(text: Column) -> Column:
-    """Lower-case runs of letters and digits, in order, repeats kept."""
-    return F.filter(F.split(F.lower(text), NOT_WORD), lambda t: t != "")
+    """The words of a text in order, lower-case, repeats kept, as the default analyzer cuts them.
+
+    A word is a run of letters, digits and underscores with a letter or digit. An apostrophe, a point or a colon
+    between two letters, and an apostrophe, a point, a comma or a semicolon between two digits belong to it: "don't" and
+    "3.14" are one word each. Ideographs and Hiragana are words one by one, Katakana runs are words.
+    """
+    apart = F.regexp_replace(F.lower(text), f"{SINGLE}|{RUN}", " $0 ")
+    return F.filter(F.split(apart, BETWEEN_WORDS), lambda t: F.btrim(t, F.lit("_")) != "")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -144,33 +145,46 @@ def search(documents: DataFrame, q: str, limit: int = 10, offset: int = 0) -> Da
     """(url, score) of one query over unindexed documents, best first, paged.
 
     One pass over the texts writes the query's words found in each row; every row is a document of one corpus,
-    whatever its url. Document frequencies are as many numbers as the query has words; with them a score is
-    made inside its row. Nothing else is shuffled but the best hits. Queries of any length go this way.
+    whatever its url. Document frequencies are as many numbers as the query has words. With few words a score is
+    made inside its row; with many, the words found meet their prices in a broadcast join. One row a document, and then
+    the best hits, are all that is shuffled.
     """
     spark = documents.sparkSession
     # the terms come out of the engine's own analysis; the query is one short text
     found = spark.range(1).select(tokens(F.lit(q)).alias("t")).first()[0]
-    weight = {t: found.count(t) for t in dict.fromkeys(found)}
+    weight = Counter(found)
     if not weight or limit < 1 or offset < 0:
         return documents.select("url", F.lit(0.0).alias("score")).limit(0)
-    words = documents.select("url", tokens(F.col("content")).alias("_t"))
-    held = F.filter("_t", lambda w: w.isin(list(weight)))
-    counts = settle(words.select("url", F.size("_t").cast("bigint").alias("dl"), held.alias("held")), "counts")
+    held = F.filter("words", lambda w: w["term"].isin(list(weight)))
+    rows = word_counts(documents.select("url", "content")).select("url", "dl", held.alias("held"))
+    counts = settle(rows.withColumn("row", F.monotonically_increasing_id()), "counts")
     n, total = counts.agg(F.count(F.lit(1)), F.sum("dl")).first()
-    each = counts.select(F.explode(F.array_distinct("held")).alias("t")).groupBy("t").count().collect()
+    matches = counts.select("row", "url", "dl", F.explode("held").alias("w")).select("row", "url", "dl", "w.term", "w.tf")
+    each = matches.groupBy("term").agg(F.count(F.lit(1)).alias("df")).collect()
     if not each:
         return counts.select("url", F.lit(0.0).alias("score")).limit(0)
-    priced = F.create_map(*[c for r in each for c in (F.lit(r["t"]), F.lit(weight[r["t"]]) * idf(F.lit(n), F.lit(r["count"])))])
     avgdl = F.lit(float(total) / n)
-    units = F.aggregate(F.array_distinct("held"), F.lit(0).cast("bigint"), lambda sofar, t: sofar + in_units(
-        F.element_at(priced, t) * term_score(F.size(F.filter("held", lambda w: w == t)), F.col("dl"), avgdl)))
-    hits = counts.filter(F.size("held") > 0).select("url", (units / F.lit(UNIT)).alias("score"))
+    if len(weight) <= FEW_NAMED:
+        priced = F.create_map(*[c for r in each for c in (F.lit(r["term"]), F.lit(weight[r["term"]]) * idf(F.lit(n), F.lit(r["df"])))])
+        units = F.aggregate("held", F.lit(0).cast("bigint"), lambda sofar, w: sofar + in_units(
+            F.element_at(priced, w["term"]) * term_score(w["tf"], F.col("dl"), avgdl)))
+        hits = counts.filter(F.size("held") > 0).select("url", (units / F.lit(UNIT)).alias("score"))
+    else:
+        named = spark.createDataFrame([(r["term"], weight[r["term"]], r["df"]) for r in each], "term string, qtf bigint, df bigint")
+        priced = named.select("term", (F.col("qtf") * idf(F.lit(n), F.col("df"))).alias("weight"))
+        part = F.col("weight") * term_score(F.col("tf"), F.col("dl"), avgdl)
+        scored = matches.join(F.broadcast(priced), "term").groupBy("row", "url").agg(F.sum(in_units(part)).alias("units"))
+        hits = scored.select("url", (F.col("units") / F.lit(UNIT)).alias("score"))
     if offset + limit > TOP_ROWS:
         placed = numbered_between(hits, [], hit_order(), offset + 1, offset + limit, "_place")
         return placed.orderBy("_place").select("url", "score")
     return hits.orderBy(*hit_order()).offset(offset).limit(limit)
 
 
+# up to this many words of one query are priced inside a document's row; more are joined: the same rows
+FEW_NAMED = 64
+
+
 def search_many(
     queries: DataFrame,
     postings: DataFrame,

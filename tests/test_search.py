@@ -177,3 +177,21 @@ def test_postings_need_no_shuffle(spark):
     assert sorted(map(tuple, found.collect())) == [("u", "a", 1, 3), ("u", "b", 2, 3)]
     assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
     assert S.term_statistics(found)._jdf.queryExecution().executedPlan().toString().count("Exchange hash") == 1
+
+
+def test_a_long_query_gives_the_rows_of_a_short_way(spark, monkeypatch):
+    texts = [" ".join(f"w{(i * k) % 97}" for k in range(i % 40)) for i in range(60)] + ["", None]
+    docs = spark.createDataFrame([(f"u{i % 55}", t) for i, t in enumerate(texts)], "url string, content string")
+    q = " ".join(f"w{k % 97}" for k in range(120))
+    joined = [tuple(r) for r in S.search(docs, q, 40, 3).collect()]
+    monkeypatch.setattr(S, "FEW_NAMED", 10_000)
+    assert [tuple(r) for r in S.search(docs, q, 40, 3).collect()] == joined and len(joined) == 40
+
+
+def test_a_bucket_sends_its_best_hits_only(spark):
+    docs = spark.createDataFrame([(f"u{i}", f"a b{i % 3} c") for i in range(200)], "url string, content string")
+    asked = spark.createDataFrame([(1, "a b1", 5, 0), (2, "c", 3, 1)], "query_id int, q string, limit int, offset int")
+    plan = S.search_documents(docs, asked)._jdf.queryExecution().executedPlan().toString()
+    above = plan[: plan.index("partial_sum")]
+    scored = above[above.rindex("WindowGroupLimit"):]
+    assert "Partial" in scored and "Exchange" not in scored  # scores are summed and cut before the only shuffle of hits
