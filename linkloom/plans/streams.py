@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from linkloom.functions.scalars import body_field
 from linkloom.operators import sessions as N
+from linkloom.operators import stats
 from linkloom.operators.schema import TOKEN, USER
 from linkloom.plans.links import CONTENT_SQL
 from linkloom.plans.registry import query
@@ -16,7 +17,7 @@ from linkloom.plans.sessions import _CHECK_SQL, as_of, token_of, tokens, users
 from linkloom.session import work_path
 from linkloom.sources.snapshots import SnapshotTable
 from linkloom.sources.tables import table, table_stream
-from linkloom.streaming import chat, keyed, messages
+from linkloom.streaming import chat, expiry, keyed, messages
 from linkloom.streaming.run import run_batches, run_to_table
 from linkloom.streaming.service import Service
 from linkloom.streaming.stores import PageIndexLog, renew_sessions
@@ -111,6 +112,80 @@ def stream_reply(spark, sf):
     return matched.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("asked", "answered")})
 
 
+def _arriving(spark, df, base, files=5):
+    """A stream of ``df`` whose micro-batches are its rows with ``batch`` 0, 1, ...; the column stays behind."""
+    for number in range(files):
+        df.filter(F.col("batch") == number).drop("batch").coalesce(1).write.parquet(f"{base}/{number}")
+    schema = df.drop("batch").schema
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/*")
+
+
+def _by_time(spark, sf):
+    """Events with the quarter of all times they lie in as ``batch``, and one far later event that closes what is open."""
+    events = table(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    first, last = events.agg(F.min("ts"), F.max("ts")).first()
+    width = (last - first) / 4
+    quarter = sum((F.col("ts") > F.lit(first + k * width)).cast("int") for k in (1, 2, 3))
+    closing = spark.createDataFrame([(-9, last + dt.timedelta(days=100), 4)], "event_id bigint, ts timestamp, batch int")
+    return events.withColumn("batch", quarter).unionByName(closing, allowMissingColumns=True)
+
+
+_QUARTERS_SQL = """
+SELECT *, (ts > lo + w)::INT + (ts > lo + 2 * w)::INT + (ts > lo + 3 * w)::INT AS batch
+FROM events, (SELECT min(ts) AS lo, (max(ts) - min(ts)) / 4 AS w FROM events)
+"""
+
+
+@query(f"""
+WITH e AS ({_QUARTERS_SQL}),
+r AS (SELECT event_id - 1 AS message_id, ts AS answered, CASE WHEN event_id % 7 = 0 THEN 3 ELSE batch END AS arrives FROM e),
+mark AS (SELECT least((SELECT max(ts) FROM e WHERE batch < 2), (SELECT max(answered) FROM r WHERE arrives < 2)) - INTERVAL 10 MINUTE AS late)
+SELECT e.event_id AS message_id, e.ts AS asked, r.answered, CASE WHEN r.answered IS NULL THEN 'timeout' ELSE 'answered' END AS outcome
+FROM e LEFT JOIN (SELECT r.* FROM r, mark WHERE arrives < 3 OR answered > late) r
+  ON r.message_id = e.event_id AND r.answered >= e.ts AND r.answered <= e.ts + INTERVAL 10 MINUTE
+""")
+def stream_unanswered(spark, sf):
+    """Each event asks, the next one answers within ten minutes or not at all; every seventh answer arrives with the
+    last quarter. That is too late for requests of the first two: a batch goes by the watermark two batches before it."""
+    base = work_path(spark, "unanswered")
+    timed = _by_time(spark, sf)
+    requests = timed.select(F.col("event_id").alias("message_id"), F.col("ts").alias("asked"), "batch")
+    held_back = (F.col("event_id") % 7 == 0) & (F.col("batch") < 4)
+    replies = timed.select(
+        (F.col("event_id") - 1).alias("message_id"), F.col("ts").alias("answered"), F.when(held_back, 3).otherwise(F.col("batch")).alias("batch"))
+    found = messages.answered_or_not(
+        _arriving(spark, requests, f"{base}/requests"), _arriving(spark, replies, f"{base}/replies"), "asked", "answered")
+    told = run_to_table(found, "outcomes").filter("message_id >= 0")
+    return told.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("asked", "answered")})
+
+
+@query("""
+SELECT user_id, min(ts) AS first, max(ts) + INTERVAL 1 DAY AS expired FROM (
+  SELECT user_id, ts, sum(opens) OVER (PARTITION BY user_id ORDER BY ts RANGE UNBOUNDED PRECEDING) AS session FROM (
+    SELECT user_id, ts, CASE WHEN lag(ts) OVER (PARTITION BY user_id ORDER BY ts) + INTERVAL 1 DAY > ts THEN 0 ELSE 1 END AS opens FROM events))
+GROUP BY user_id, session
+""")
+def stream_expired(spark, sf):
+    """Each event is a login for a day; a session is told once, when it has ended."""
+    logins = _arriving(spark, _by_time(spark, sf).select("user_id", "ts", "batch"), work_path(spark, "logins"))
+    ended = run_to_table(expiry.expired_sessions(logins, "user_id", "ts"), "ended").filter(F.col("user_id").isNotNull())
+    return ended.select("user_id", *[F.timestamp_micros(c).cast("timestamp_ntz").alias(n) for c, n in (("first", "first"), ("end", "expired"))])
+
+
+@query("""
+SELECT event_type, start, count(*) AS requests FROM (
+  SELECT event_type, unnest(generate_series(time_bucket(INTERVAL 10 MINUTE, ts) - INTERVAL 50 MINUTE, time_bucket(INTERVAL 10 MINUTE, ts), INTERVAL 10 MINUTE)) AS start
+  FROM events)
+GROUP BY ALL HAVING count(*) > 3
+""")
+def stream_rate(spark, sf):
+    """Hours, one beginning every ten minutes, with more than three events of a type."""
+    base = work_path(spark, "rates")
+    arriving = _arriving(spark, _by_time(spark, sf).select("event_type", "ts", "batch"), base)
+    found = run_to_table(stats.rate_stream(arriving, ["event_type"], "ts", 3, "1 hour", "10 minutes", "1 hour"), "rates")
+    return found.withColumn("start", F.col("start").cast("timestamp_ntz"))
+
+
 @query("""
 SELECT user_id, unnest(range(10, count(*) + 1, 10)) AS n FROM events GROUP BY user_id
 """)

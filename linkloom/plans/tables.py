@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from linkloom.functions.scalars import body_field, truthy
@@ -350,6 +352,18 @@ def rate_report(spark, sf):
     return stats.rate_report(table(spark, sf, "events"), ["user_id"], "ts", 1, "1 minute")
 
 
+@query("""
+SELECT event_type, ts, requests FROM (
+  SELECT event_type, ts, count(*) OVER (
+    PARTITION BY event_type ORDER BY ts RANGE BETWEEN INTERVAL '3599.999999 seconds' PRECEDING AND CURRENT ROW) AS requests
+  FROM events)
+WHERE requests > 5
+""")
+def rate_sliding(spark, sf):
+    """Moments at which a type had more than five events in the hour before, wherever the hour begins."""
+    return stats.sliding_rate(table(spark, sf, "events"), ["event_type"], "ts", 5, dt.timedelta(hours=1))
+
+
 @query("""
 SELECT user_id, event_id, n FROM (
   SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n FROM events)

@@ -70,6 +70,22 @@ def match_replies(
 
     The reply must come within ``patience`` after the request, which bounds the state.
     """
+    return _paired(requests, replies, requested, replied, patience, "inner")
+
+
+def answered_or_not(
+    requests: DataFrame, replies: DataFrame, requested: str, replied: str, patience: str = "10 minutes"
+) -> DataFrame:
+    """Every request once with its ``outcome``: 'answered' with the reply, or 'timeout' without one.
+
+    A timeout is released when the watermarks of both streams have passed the request by ``patience``: from then
+    on no reply can count. A reply that comes after its watermark is dropped, and its request has timed out.
+    """
+    paired = _paired(requests, replies, requested, replied, patience, "left_outer")
+    return paired.withColumn("outcome", F.when(F.col(replied).isNull(), F.lit("timeout")).otherwise(F.lit("answered")))
+
+
+def _paired(requests: DataFrame, replies: DataFrame, requested: str, replied: str, patience: str, how: str) -> DataFrame:
     asked = requests.withWatermark(requested, patience)
     answers = replies.withColumnRenamed("message_id", "_reply_id").withWatermark(replied, patience)
     match = (
@@ -77,4 +93,4 @@ def match_replies(
         & (F.col(replied) >= F.col(requested))
         & (F.col(replied) <= F.col(requested) + F.expr(f"interval {patience}"))
     )
-    return asked.join(answers, match).drop("_reply_id")
+    return asked.join(answers, match, how).drop("_reply_id")
