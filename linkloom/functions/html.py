@@ -10,26 +10,29 @@ from pyspark.sql import functions as F
 # Text nodes lose the white space that Python's str.strip() removes.
 WHITESPACE = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
 
-# All patterns keep to what Java and RE2 both accept: no look-around, no back-references.
 # What is never closed runs to the end of the page, as it does for a browser; this also keeps a page
-# full of openers from being searched again and again.
+# full of openers from being searched again and again. A quoted attribute value is taken as a unit, whatever it
+# holds. Repeats of groups are possessive: the JVM then runs them in a loop, so no tag is too long for its stack.
+ATTRIBUTES = r"""(?:=\s*+"[^"]*+(?:"|\z)|=\s*+'[^']*+(?:'|\z)|[^>=]++|=)*+"""
 COMMENT = r"<!--.*?(?:-->|\z)"
-SCRIPT = r"<script(?:\s[^>]*)?>.*?(?:</script\s*>|\z)"
-STYLE = r"<style(?:\s[^>]*)?>.*?(?:</style\s*>|\z)"
-HEAD = r"<head(?:\s[^>]*)?>.*?(?:</head\s*>|<body(?:\s[^>]*)?>|\z)"
-TAG = r"<[a-z/!?][^>]*(?:>|\z)"
+SCRIPT = rf"<script(?:\s{ATTRIBUTES})?(?:>.*?(?:</script\s*>|\z)|\z)"
+STYLE = rf"<style(?:\s{ATTRIBUTES})?(?:>.*?(?:</style\s*>|\z)|\z)"
+HEAD = rf"<head(?:\s{ATTRIBUTES})?(?:>.*?(?:</head\s*>|<body(?:\s{ATTRIBUTES})?(?:>|\z)|\z)|\z)"
+TAG = rf"<[a-z/!?]{ATTRIBUTES}(?:>|\z)"
 
 # One alternation, tried at each '<' from left to right, so whichever construct opens first wins:
 # a script inside a comment is a comment, a comment inside a script is a script.
 MARKUP = f"(?is){COMMENT}|{HEAD}|{SCRIPT}|{STYLE}|{TAG}"
 MARKUP_KEEP_SCRIPTS = f"(?is){COMMENT}|{HEAD}|{TAG}"
 NOT_CONTENT = f"(?is){COMMENT}|{SCRIPT}|{STYLE}"
-FIRST_SCRIPT = r"(?is)^(.*?)<script(?:\s[^>]*)?>.*?</script\s*>(.*)$"
+FIRST_SCRIPT = rf"(?is)^(.*?)<script(?:\s{ATTRIBUTES})?>.*?</script\s*>(.*)$"
 HEAD_ONLY = f"(?is){HEAD}"
 
-# a page is cut into anchor tags first, each character looked at once; the href is read inside its short tag
-ANCHOR_TAG = r"(?is)<a\s[^<>]*"
-HREF = r"""(?is)^<a\s(?:[^>]*?\s)?href\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)"""
+# a page is cut into tags first, each character looked at once; the href is read inside an anchor's short tag
+ANY_TAG = f"(?is){TAG}"
+ANCHOR = r"(?i)^<a[\s/]"
+OTHER_ATTRIBUTES = r"""(?:(?!href[\s=])[^\s=/>]++(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>"']*+))?+[\s/"'=]*+)*+"""
+HREF = rf"""(?is)^<a[\s/]++{OTHER_ATTRIBUTES}href\s*+=\s*+("[^"]*"|'[^']*'|[^\s>"']+)"""
 CHARACTER_REFERENCE = r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[A-Za-z][A-Za-z0-9]{0,31};?)"
 
 # the named references of HTML 5, as the standard library lists them; the old ones also count without their
@@ -109,7 +112,7 @@ def html_text(html: Column, first_only: bool = False) -> Column:
 def hrefs(html: Column) -> Column:
     """Distinct href values of the page's anchors; an empty page has none."""
     content = F.regexp_replace(html, NOT_CONTENT, "<p>")
-    tags = F.regexp_extract_all(content, F.lit(ANCHOR_TAG), F.lit(0))
+    tags = F.filter(F.regexp_extract_all(content, F.lit(ANY_TAG), F.lit(0)), lambda tag: tag.rlike(ANCHOR))
     raw = F.filter(F.transform(tags, lambda tag: F.regexp_extract(tag, HREF, 1)), lambda v: v != "")
     quoted = lambda v: F.substr(v, F.lit(1), F.lit(1)).isin('"', "'")
     plain = F.transform(

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from linkloom.functions.html import hrefs
 from linkloom.functions.urls import host, url_join
+from linkloom.operators.membership import BITS, unseen
 
 # They decide which links are followed.
 LINK_STOPS = ["#", "zip", "epub", "bz2", ".io", "/fr/", "/ja/", "/ko/", "/zh-cn/", "http", ":"]
@@ -94,5 +95,10 @@ def new_links(links: DataFrame, seen: DataFrame) -> DataFrame:
     return links.select("url").distinct().join(seen.select("url"), "url", "left_anti")
 
 
+def new_links_filtered(links: DataFrame, seen: DataFrame, bits: int = BITS) -> DataFrame:
+    """``new_links`` by a filter of ``bits`` bits sent to the links: only those it knows are joined with the seen ones."""
+    return unseen(links.select("url").distinct(), seen.select("url"), "url", bits)
+
+
 def seen_union(seen: DataFrame, links: DataFrame) -> DataFrame:
     return seen.select("url").unionByName(links.select("url")).distinct()

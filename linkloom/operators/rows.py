@@ -120,15 +120,22 @@ def delete_keys(df: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
     return df.join(keys.select(*on), on, "left_anti")
 
 
+def last_of_each(rows: DataFrame, on: list[str], order: list[Column] | None = None) -> DataFrame:
+    """One row of each key: the first by ``order``, or the last in the order of the input, as when rows are saved one by one."""
+    if order:
+        return first_per_key(rows, on, order)
+    given = rows.withColumn("_given", F.monotonically_increasing_id())
+    return first_per_key(given, on, [F.col("_given").desc()]).drop("_given")
+
+
 def upsert(
     base: DataFrame, updates: DataFrame, on: list[str], order: list[Column] | None = None
 ) -> DataFrame:
     """Rows of ``updates`` replace rows with the same key; new keys are added.
 
-    ``order`` picks the row that counts where ``updates`` repeats a key.
+    Where ``updates`` repeats a key, the first by ``order`` counts, without an order the last given.
     """
-    latest = first_per_key(updates, on, order) if order else updates
-    latest = latest.select(*base.columns)
+    latest = last_of_each(updates, on, order).select(*base.columns)
     return base.join(latest, on, "left_anti").select(*base.columns).unionByName(latest)
 
 

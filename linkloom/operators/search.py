@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from linkloom.functions.scalars import encode_body, tokens
 from linkloom.operators.ranks import TOP_ROWS, numbered_between
+from linkloom.operators.requests import LARGEST_LIMIT
 from linkloom.session import settle, settle_bucketed
 
 # Fixed values of the ranking formula.
@@ -286,9 +287,34 @@ def search_documents(documents: DataFrame, queries: DataFrame, deepest: int | No
     return search_many(queries, matches, term_statistics(matches), totals, deepest)
 
 
+def search_after(queries: DataFrame, postings: DataFrame, term_stats: DataFrame, totals: DataFrame) -> DataFrame:
+    """(query_id, rank, url, score): the ``limit`` hits of every query that follow its cursor, numbered from 1.
+
+    ``queries`` is (query_id, q, limit, after_score, after_url[, index_name]); the cursor is the last hit of the page
+    before, or nulls for the first page. Hits up to the cursor are cut off where they are scored, so a deep page costs
+    no more than the first, and hits that came or went on earlier pages shift nothing.
+    """
+    by = _by(postings)
+    asked = queries.filter(F.col("limit") > 0)
+    keys = [*by, "query_id"]
+    hits = score(postings, term_stats, totals, query_terms(asked, keys), keys)
+    cursors = asked.select(*keys, F.col("limit").alias("_limit"), "after_score", "after_url")
+    behind = (F.col("score") < F.col("after_score")) | ((F.col("score") == F.col("after_score")) & (F.col("url") > F.col("after_url")))
+    left = hits.join(cursors, keys).filter(F.col("after_score").isNull() | behind)
+    largest = asked.agg(F.coalesce(F.max("limit"), F.lit(0))).first()[0]
+    placed = numbered_between(left, keys, hit_order(), 1, largest, "rank")
+    return placed.filter(F.col("rank") <= F.col("_limit")).select("query_id", "rank", "url", "score")
+
+
 def replies(queries: DataFrame, hits: DataFrame) -> DataFrame:
-    """(query_id, request, limit, offset, urls): ranked urls of every query, none for no hit."""
-    pages = hits.groupBy("query_id").agg(
+    """(query_id, request, limit, offset, urls): ranked urls of every query, none for no hit.
+
+    A reply is one row, so a query may ask for ``LARGEST_LIMIT`` hits at most; one for more is refused.
+    """
+    largest = queries.agg(F.max("limit")).first()[0]
+    if largest is not None and largest > LARGEST_LIMIT:
+        raise ValueError(f"a reply has at most {LARGEST_LIMIT} urls; page through more")
+    pages = hits.filter(F.col("rank") <= LARGEST_LIMIT).groupBy("query_id").agg(
         F.transform(
             F.array_sort(F.collect_list(F.struct("rank", "url"))), lambda h: h["url"]
         ).alias("urls")

@@ -125,8 +125,10 @@ def log_in(
     """
     as_of = moment(as_of)
     known = users.select(F.col("id").alias("user_id"), "email", F.col("password").alias("_digest"))
+    # only users that are asked for: what is written follows the requests, not the users
+    known = known.join(requests.select("email").distinct(), "email", "left_semi")
     known = first_per_key(known, ["email", "_digest"], [F.col("user_id")])
-    held = _one_per(tokens, "user_id", "id", "token", "id")
+    held = _one_per(tokens.join(known.select("user_id"), "user_id", "left_semi"), "user_id", "id", "token", "id")
     known = known.join(held, "user_id", "left").withColumn(
         "token", F.coalesce("token", random_id() if token is None else token)
     )

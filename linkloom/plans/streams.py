@@ -235,6 +235,33 @@ def stream_index(spark, sf):
     return log.search_many(asked, deepest=100).drop("query_id")
 
 
+_TIES_SQL = f"""
+SELECT index_name, url, content FROM (
+  SELECT 'all' AS index_name, regexp_replace(url, '[?#].*$', '') AS url, {CONTENT_SQL} AS content,
+         row_number() OVER (PARTITION BY regexp_replace(url, '[?#].*$', '') ORDER BY page_id // 11 DESC, page_id % 11 DESC) AS place
+  FROM pages) WHERE place = 1
+"""
+
+
+@query(f"""
+SELECT place AS rank, url, score FROM (
+  {_ranked(_TIES_SQL, f"SELECT 'all' AS index_name, 1 AS query_id, '{TEXT}' AS q", "index_name,")}) WHERE place <= 100
+""")
+def stream_index_ties(spark, sf):
+    """Eleven batches bring pages of the same addresses and the same seq: the last batch counts, the eleventh after the tenth."""
+    stored = table(spark, sf, "pages").select(
+        F.regexp_replace("url", "[?#].*$", "").alias("url"), "html", F.floor(F.col("page_id") / 11).alias("seq"),
+        (F.col("page_id") % 11).cast("int").alias("batch"))
+    base = work_path(spark, "ties")
+    log = PageIndexLog(spark, f"{base}/log")
+    run_batches(_arriving(spark, stored, f"{base}/in", 11), log.handler(lambda: F.lit("all")), f"{base}/checkpoint")
+    asked = spark.range(1).select(
+        F.col("id").alias("query_id"), F.lit("all").alias("index_name"), F.lit(TEXT).alias("q"),
+        F.lit(100).alias("limit"), F.lit(0).alias("offset"),
+    )
+    return log.search_many(asked, deepest=100).drop("query_id")
+
+
 # The service's messages, made from orders: a sign-up of a new or a known customer, a login, an index request.
 _KIND_SQL = "CASE o_orderkey % 3 WHEN 0 THEN 'singup' WHEN 1 THEN 'login' ELSE 'index' END"
 

@@ -14,6 +14,7 @@ from linkloom.operators import schema as M
 from linkloom.operators import stats
 from linkloom.plans.registry import query
 from linkloom.session import work_path
+from linkloom.sources.parts import PartTable
 from linkloom.sources.snapshots import SnapshotTable
 from linkloom.sources.tables import table
 
@@ -234,6 +235,41 @@ def save_stored(spark, sf):
     return store.read()
 
 
+_PARTS_SQL = """
+SELECT id, name, balance FROM (
+  SELECT *, row_number() OVER (PARTITION BY id ORDER BY place DESC) AS n FROM (
+    SELECT c_custkey AS id, c_name AS name, c_acctbal AS balance, -1 AS place FROM customer
+    UNION ALL SELECT o_custkey + CASE WHEN o_orderkey % 3 = 0 THEN 1000000 ELSE 0 END, o_orderpriority, o_totalprice, o_orderkey
+    FROM orders WHERE o_custkey % 100 = 1))
+WHERE n = 1
+"""
+
+
+def _few_updates(spark, sf):
+    """Every order of one customer in a hundred, a third of them under new keys."""
+    key = F.col("o_custkey") + F.when(F.col("o_orderkey") % 3 == 0, 1000000).otherwise(0)
+    return table(spark, sf, "orders").filter("o_custkey % 100 = 1").select(
+        key.cast("bigint").alias("id"), F.col("o_orderpriority").alias("name"), F.col("o_totalprice").alias("balance"), F.col("o_orderkey").alias("place"))
+
+
+@query(_PARTS_SQL)
+def save_parts(spark, sf):
+    """A save of few keys, repeated and new ones among them, into a table in parts: only their parts are written."""
+    store = PartTable(spark, work_path(spark, "parts"), ACCOUNT, ["id"], parts=64)
+    store.save(_accounts(spark, sf))
+    store.save(_few_updates(spark, sf), [F.col("place").desc()])
+    return store.read()
+
+
+@query(_PARTS_SQL)
+def save_repeated(spark, sf):
+    """The same through a versioned table, whose save takes one row of each repeated key too."""
+    store = SnapshotTable(spark, work_path(spark, "repeated"), ACCOUNT)
+    store.insert(_accounts(spark, sf))
+    store.save(_few_updates(spark, sf).orderBy("place").drop("place"))  # the last given wins
+    return store.read()
+
+
 @query("""
 SELECT o_orderkey AS id, 'name' AS field, 'null in a required field' AS reason FROM orders WHERE o_orderpriority = '1-URGENT'
 UNION ALL

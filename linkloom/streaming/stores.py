@@ -77,7 +77,9 @@ class PageIndexLog:
     def live(self) -> DataFrame:
         """(index_name, url, dl, batch) of the documents that count; texts are not read."""
         log = self._log("documents", self.DOCUMENTS).select(*self.KEYS, "seq", "dl", "batch")
-        return latest(log, self.KEYS, [F.col("seq"), F.col("batch")]).drop("seq")
+        # of equal seq the later batch by its number counts; rows of a rewritten log came before all others
+        number = F.coalesce(F.regexp_extract("batch", r"-(\d+)$", 1).try_cast("bigint"), F.lit(-1))
+        return latest(log, self.KEYS, [F.col("seq"), number, F.col("batch")]).drop("seq")
 
     def documents(self) -> DataFrame:
         log = self._log("documents", self.DOCUMENTS)
