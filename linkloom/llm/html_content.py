@@ -22,13 +22,14 @@ from pyspark.sql import functions as F
 from linkloom.llm.common import map_batches, named
 
 #: Elements whose text is never shown as text.
-HIDDEN = frozenset("script style noscript template title svg math iframe object canvas audio video select option datalist textarea button xmp noembed noframes".split())
+HIDDEN = frozenset("script style noscript template title svg iframe canvas audio video select option datalist textarea button xmp noembed noframes annotation annotation-xml".split())
 #: Roots of foreign content, where a slash before the ``>`` closes an element. HTML's own elements ignore the slash.
 FOREIGN = frozenset("svg math".split())
 #: Elements inside a line; every other element begins and ends a block.
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark meta q rp rt ruby s samp small span strike strong "
-    "sub sup time tt u var wbr input".split())
+    "sub sup time tt u var wbr input object "
+    "math mi mn mo ms mtext mrow mfrac msqrt mroot mstyle mpadded mphantom menclose msub msup msubsup munder mover munderover mspace semantics".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements that hold something other than the article.
 CHROME = frozenset("nav header footer aside form menu dialog address fieldset".split())
@@ -60,6 +61,7 @@ class Block:
     named_chrome: int = 0        # ... or by name
     article: int = 0
     named_article: int = 0
+    element: int = 0             # number of its own element
 
 
 @dataclass
@@ -165,6 +167,8 @@ class _Blocks:
         self.made: list[Block] = []
         self.parts: list[str] = []
         self.linked = self.links = self.count = 0
+        self.above, self.named_in_part = [0], [False]  # of every element: who holds it; is a part of a name something else
+        self.is_article = [False]
 
     def flush(self) -> None:
         text = _SPACE.sub(" ", "".join(self.parts)).strip()
@@ -172,7 +176,7 @@ class _Blocks:
             here = self.open[-1]
             holder = self.open[-2].number if len(self.open) > 1 else 0
             self.made.append(Block(text, here.tag, holder, len(self.open), min(self.linked, len(text)), here.chrome, here.named_chrome,
-                                   here.article, here.named_article))
+                                   here.article, here.named_article, here.number))
         self.parts, self.linked = [], 0
 
     def close(self, to: int) -> None:
@@ -200,17 +204,42 @@ class _Blocks:
 
     def enter(self, tag: str, attributes: dict) -> None:
         above = self.open[-1]
-        names = set()
+        names, whole = set(), set()
         if tag not in ("html", "body"):
             given = " ".join(unescape(attributes[k]) for k in ("class", "id", "role") if k in attributes).lower()
-            names = {n for token in given.split() if not token.startswith(_ABOUT) for n in _NAME.findall(token)}
-        chrome = tag in CHROME and not (tag == "header" and above.article)  # an article's own header has its title
-        named_chrome = bool(names & CHROME_NAMES)
+            whole = {token for token in given.split() if not token.startswith(_ABOUT)}
+            names = {n for token in whole for n in _NAME.findall(token)}
+        chrome = tag in CHROME and not (tag in ("header", "address") and above.article)  # an article's own title and author
+        named_chrome = bool(whole & CHROME_NAMES)
+        in_part = bool(names & CHROME_NAMES) and not named_chrome
+        self.above.append(above.number)
+        self.named_in_part.append(in_part)
+        self.is_article.append(tag in ARTICLE)
         self.count += 1
         self.depth_of[tag] += 1
         self.open.append(_Element(
             tag, self.count, above.chrome + chrome, above.named_chrome + named_chrome, above.article + (tag in ARTICLE),
-            above.named_article + (bool(names & ARTICLE_NAMES) and not named_chrome)))
+            above.named_article + (bool(names & ARTICLE_NAMES) and not named_chrome and not in_part)))
+
+    def judge_parts_of_names(self) -> None:
+        """Count elements that only a part of a name calls something else, such as ``site-footer`` or ``sidebar-right``.
+
+        Such a name may as well speak of the page's layout: an element that holds over half of the text outside
+        menus, footers and the like is none, nor is anything around an article or main element, or its own name.
+        """
+        text = [0] * len(self.above)
+        for block in self.made:
+            if not block.chrome and not block.named_chrome:
+                text[block.element] += len(block.text)
+        for number in range(len(text) - 1, 0, -1):  # an element's number is greater than its holder's
+            text[self.above[number]] += text[number]
+        parts = [0] * len(self.above)
+        for number in range(1, len(parts)):
+            if not self.is_article[number]:
+                other = self.named_in_part[number] and 2 * text[number] <= text[0]
+                parts[number] = parts[self.above[number]] + other
+        for block in self.made:
+            block.named_chrome += parts[block.element]
 
     def end(self, tag: str) -> None:
         if self.hidden:
@@ -245,6 +274,7 @@ def blocks(html: str) -> list[Block]:
         elif kind == "end":
             page.end(what)
     page.flush()
+    page.judge_parts_of_names()
     return page.made
 
 

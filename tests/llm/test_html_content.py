@@ -84,3 +84,31 @@ def test_odd_rows(spark):
     found = sorted(((r.page_id or 0, r.text, r.n_chars) for r in hc.extract(pages, carry={"page_id": F.col("page_id")}).collect()))
     assert [(i, n) for i, _, n in found] == [(0, len(hc.main_text(PAGE))), (1, 0), (2, 0), (3, 0), (3, len(rows[2][2])), (5, 0), (6, 9)]
     assert hc.extract(pages.limit(0)).count() == 0
+
+
+def test_names_of_the_layout_lose_no_article():
+    body = f"<h1>Title</h1><p>{LONG}</p><p>{LONG}</p>"
+    text = f"Title\n\n{LONG}\n\n{LONG}"
+    comments = f'<section id="comments"><article class="comment"><p>{LONG} {LONG} {LONG}</p></article></section>'
+    for page in (
+        f'<div class="layout sidebar-right"><article>{body}</article></div>', f'<article class="post comments-open">{body}</article>{comments}',
+        f'<main class="menu-open">{body}</main>', f'<article id="post-alert-on-banner-law">{body}</article>',
+        f'<div class="layout sidebar-right"><div class="content">{body}</div></div>', f'<div id="page" class="nav-fixed"><div>{body}</div></div>',
+    ):
+        whole = f'<body><nav><a href="/">Home</a></nav>{page}<div class="site-footer"><p>All of it belongs to somebody.</p></div></body>'
+        assert hc.main_text(whole) == text, page
+    inside = f'<body><article>{body}</article><div class="cookie-notice"><p>{LONG}</p></div><div class="sidebar"><article><p>{LONG}</p></article></div></body>'
+    assert hc.main_text(inside) == text
+
+
+def test_formulas_objects_and_authors_stay():
+    page = f"<body><article><p>The sum is <math><mi>x</mi><mo>+</mo><mn>1</mn><annotation>x+1</annotation></math> here. {LONG}</p><address>By A. Writer</address><p><object data=f>See the figure.</object> {LONG}</p></article><address>Office</address></body>"
+    assert hc.main_text(page) == f"The sum is x+1 here. {LONG}\n\nBy A. Writer\n\nSee the figure. {LONG}"
+
+
+def test_the_cut_changes_labels_against_their_own_price():
+    block = lambda text, linked=0: hc.Block(text, "p", 1, 2, linked=linked)
+    odd = block("Read on here", 12)
+    assert hc.content_odds(odd) < 0
+    assert hc.content([block(LONG), odd, block(LONG)]) == [True, True, True]  # its neighbours keep it
+    assert hc.content([odd]) == [False]
