@@ -28,11 +28,15 @@ _SEPARATE = bytes(b if b >= 0x80 or 97 <= b <= 122 else 32 for b in range(256))
 
 
 def ngram_buckets(text: bytes) -> np.ndarray:
-    """Buckets of the 4-byte windows of the lower-cased text; runs of other than letters count as one space."""
+    """Buckets of the 4-byte windows of the lower-cased text; runs of other than letters count as one space.
+
+    A text whose only letter is one of a to z has one window, filled up with a space.
+    """
     data = text.decode("utf-8", "replace").lower().encode().translate(_SEPARATE)
-    data = b" " + b" ".join(data.split()) + b" "
-    if len(data) < 4:
+    words = data.split()
+    if not words:
         return np.empty(0, np.uint32)
+    data = (b" " + b" ".join(words) + b" ").ljust(4)
     b = np.frombuffer(data, np.uint8).astype(np.uint32)
     window = (b[:-3] << 24) | (b[1:-2] << 16) | (b[2:-1] << 8) | b[3:]
     return (window * np.uint32(2654435761)) >> np.uint32(32 - BITS)
