@@ -52,8 +52,8 @@ def random_coupon_number() -> Column:
     return F.floor(F.rand() * 0x100000).cast("bigint")
 
 
-def coupon_url(code: Column) -> Column:
-    return F.concat(F.lit(COUPON_URL), pad_code(code))
+def coupon_url(code: Column, address: str = COUPON_URL) -> Column:
+    return F.concat(F.lit(address), pad_code(code))
 
 
 def repeatable_id(*keys: Column) -> Column:

@@ -32,7 +32,9 @@ def crawl_index(pages: DataFrame, requests: DataFrame, as_of: Column | None = No
     starts = requests.select("root", *(["url"] if "url" in requests.columns else [])).distinct()
     reached = crawl(usable, starts, **options).select("root", "url")
     stored = settle(reached.join(usable.select("url").distinct(), "url", "left_semi"), "reached")
-    texts = usable.select("url", html_text(F.col("html")).alias("content"))
+    # only reached pages are parsed, each once
+    read = usable.join(stored.select("url").distinct(), "url", "left_semi")
+    texts = read.select("url", html_text(F.col("html")).alias("content"))
     documents = texts.join(stored, "url").select(index_name(F.col("root")).alias("index_name"), "url", "content")
     counts = stored.groupBy("root").agg(F.count(F.lit(1)).alias("pages_count"))
     asked = requests.select("root", "author_id").distinct()

@@ -13,7 +13,7 @@ from linkloom.operators.schema import TOKEN, USER
 from linkloom.plans.links import CONTENT_SQL
 from linkloom.plans.registry import query
 from linkloom.plans.search import TEXT, _ranked
-from linkloom.plans.sessions import _CHECK_SQL, as_of, token_of, tokens, users
+from linkloom.plans.sessions import _CHECK_SQL, AS_OF_SQL, as_of, token_of, tokens, users
 from linkloom.session import work_path
 from linkloom.sources.snapshots import SnapshotTable
 from linkloom.sources.tables import table, table_stream
@@ -266,10 +266,10 @@ def stream_index_ties(spark, sf):
 _KIND_SQL = "CASE o_orderkey % 3 WHEN 0 THEN 'singup' WHEN 1 THEN 'login' ELSE 'index' END"
 
 
-def _service(spark, sf):
+def _service(spark, sf, kinds=("singup", "login", "index")):
     """All messages through the service in four batches, each with the tables its predecessor left."""
     orders = table(spark, sf, "orders")
-    kind = F.element_at(F.array(*map(F.lit, ("singup", "login", "index"))), (F.col("o_orderkey") % 3 + 1).cast("int"))
+    kind = F.element_at(F.array(*map(F.lit, kinds)), (F.col("o_orderkey") % 3 + 1).cast("int"))
     name = F.concat(F.lit("Customer#"), F.lpad(F.col("o_custkey").cast("string"), 9, "0"))
     mail = F.concat(F.lower(name), F.lit("@mail.test"))
     new_mail = F.concat(F.lit("new"), F.col("o_orderkey").cast("string"), F.lit("@mail.test"))
@@ -328,6 +328,20 @@ def stream_login(spark, sf):
     return service.replies("login").withColumn("source", F.lit("reply")).union(renewed)
 
 
+@query(f"""
+SELECT o_orderkey AS message_id, CASE WHEN message IS NULL THEN 'Ok' ELSE 'error' END AS status, message, CASE WHEN message IS NULL THEN o_custkey END AS id
+FROM (
+  SELECT o_orderkey, o_custkey, CASE WHEN o_orderstatus = 'P' THEN 'forbidden' WHEN o_orderstatus = 'F' THEN 'token is not valid'
+    WHEN last + INTERVAL 1 DAY <= {AS_OF_SQL} THEN 'token is expire' END AS message
+  FROM orders JOIN (SELECT o_custkey, max(o_orderdate) AS last FROM orders GROUP BY o_custkey) USING (o_custkey)
+  WHERE o_orderkey % 3 = 2)
+""")
+def stream_current(spark, sf):
+    """Whose session each token is, over four batches with sign-ups in them; messages of other types are ignored."""
+    service = _service(spark, sf, ("singup", "other", "current"))
+    return service.replies("current").select("message_id", "status", "message", "id")
+
+
 @query(f"""
 SELECT o_orderkey AS message_id, 'https://site' || o_custkey AS domain, CASE WHEN o_orderstatus = 'O' THEN o_custkey END AS author_id,
   CASE o_orderstatus WHEN 'P' THEN 'forbidden' WHEN 'F' THEN 'token is not valid' ELSE

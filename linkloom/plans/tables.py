@@ -184,6 +184,18 @@ def insert_defaults(spark, sf):
     return store.read()
 
 
+@query("""
+SELECT event_id, user_id, coalesce(nullif(event_type, 'error'), 'none') AS event_type, value FROM events
+""")
+def insert_appended(spark, sf):
+    """The same by appends to a table in parts: the second insert adds files and touches none."""
+    store = PartTable(spark, work_path(spark, "events"), EVENT, ["event_id"], parts=16)
+    rows = _events_with_gaps(spark, sf)
+    for half in (0, 1):
+        store.insert(rows.filter(F.col("event_id") % 2 == half), strict=False, defaults={"event_type": "none"})
+    return store.read()
+
+
 ACCOUNT = M.Model("Account", [M.int_field("id"), M.string_field("name"), M.float_field("balance")])
 
 _UPDATES = """

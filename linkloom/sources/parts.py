@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from linkloom.operators import rows as R
-from linkloom.operators.schema import Model
+from linkloom.operators.schema import Model, validate, with_defaults
 from linkloom.session import child_names, path_exists, settle
 
 
@@ -66,6 +66,17 @@ class PartTable:
         kept = self._touched(once).join(once.select(*self.key), self.key, "left_anti")
         self._overwrite(settle(kept.unionByName(once), "touched"))
 
+    def insert(self, rows: DataFrame, strict: bool = True, defaults: dict[str, object] | None = None) -> DataFrame:
+        """Append validated rows, nulls by ``defaults`` filled, and return the rejects. No stored file is read or written.
+
+        Whether a key is stored already is not looked up; ``save`` does that. Append is not idempotent: after a failed
+        one, ``save`` the rows.
+        """
+        checked = validate(rows, self.model, strict)
+        good = with_defaults(checked.rows, defaults) if defaults else checked.rows
+        self._placed(good).repartition("part").write.mode("append").partitionBy("part").parquet(f"{self.path}/rows")
+        return checked.rejects
+
     def delete_keys(self, keys: DataFrame) -> None:
         """Rows with these keys go. Spark overwrites the parts it has rows for; those left without any are emptied by name."""
         gone = settle(keys.select(*self.key).distinct().withColumn(

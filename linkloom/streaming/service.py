@@ -1,4 +1,4 @@
-"""The service's messages over its stored tables: sign-up, login and index requests, several batches on."""
+"""The service's messages over its stored tables: sign-up, login, session and index requests, several batches on."""
 
 from __future__ import annotations
 
@@ -15,6 +15,7 @@ from linkloom.streaming.messages import of_type
 from linkloom.streaming.run import batch_name
 
 OUTCOME = "message_id bigint, status string, message string"
+SHOWN = f"{OUTCOME}, id bigint, email string, name string"
 ACCEPTED = "message_id bigint, domain string, author_id bigint, outcome string"
 
 
@@ -38,6 +39,7 @@ class Service:
             try:
                 self._sign_up(of_type(batch, "singup"), name, now, token)
                 self._log_in(of_type(batch, "login"), name, now, token)
+                self._current(of_type(batch, "current"), name, now)
                 self._index(of_type(batch, "index"), name, now)
             finally:
                 batch.unpersist()
@@ -67,12 +69,17 @@ class Service:
         self._once("login", name, lambda: logged.outcomes.select("message_id", "status", "message"))
         self.tokens.write(after, mark)
 
+    def _current(self, asked: DataFrame, name: tuple[str, int], now: Column) -> None:
+        """Who a token belongs to, by the tables after the batch's sign-ups and logins."""
+        self._once("current", name, lambda: N.check_sessions(asked, self.tokens.read(), self.users.read(), now).select(
+            "message_id", "status", "message", "id", "email", "name"))
+
     def _index(self, asked: DataFrame, name: tuple[str, int], now: Column) -> None:
         self._once("index", name, lambda: N.index_requests(asked, self.tokens.read(), self.stats, now))
 
     def replies(self, kind: str) -> DataFrame:
-        """Outcomes of 'signup', 'login' or 'index' messages so far."""
-        schema = ACCEPTED if kind == "index" else OUTCOME
+        """Outcomes of 'signup', 'login', 'current' or 'index' messages so far."""
+        schema = {"index": ACCEPTED, "current": SHOWN}.get(kind, OUTCOME)
         if not path_exists(self.users.spark, f"{self.out}/{kind}"):
             return self.users.spark.createDataFrame([], schema)
         return self.users.spark.read.schema(f"{schema}, batch string").parquet(f"{self.out}/{kind}").drop("batch")
