@@ -106,6 +106,8 @@ def judge(df: DataFrame, text_column: str = "text", carry: dict[str, Column] | N
     The base fails a text of fewer than 50 words, or with over half of its words in repeated windows of
     three; what it fails is not kept whatever the rules say. Null is a text without words, and fails. Two
     windows count as equal if their 64-bit hashes are.
+    A repeated row has its own verdict, an empty table gives an empty one, and no column but the text and those of
+    ``carry`` is read, whatever its name.
     """
     carry = carry or {}
     now = df.select(F.struct(F.lit(0).alias("_"), *[v.alias(k) for k, v in carry.items()]).alias("_carried"), named(text_column).alias("_given"))
