@@ -1,5 +1,6 @@
 """Repeated passages: every window of 13 words that an earlier document has, found by repeated-phrase automata.
 
+0. Of equal texts only the first takes part: every window of a copy starts in it, so a copy of a window or more goes whole.
 1. Every window has an anchor: the least hash of the runs of six words in it. Equal windows have equal
    anchors, and neighbouring windows mostly share one, so there are several times fewer anchors than
    windows. Anchors that only one document has are dropped.
@@ -26,12 +27,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linkloom.llm.common import map_batches, named, release, settle_dense
-from linkloom.session import settle
+from linkloom.session import settle, work_path
 
 WINDOW = 13
 RUN = 6              # words in the runs that anchors are chosen from
 STRETCH = 64         # most windows in one stretch
 PIECE = 1 << 17      # words hashed at a time
+WHOLE = -1           # end of the range of a copy: all of it
 
 _draw = np.random.default_rng(13)
 _BYTE = _draw.integers(1, 2 ** 63, 256, np.uint64)
@@ -159,8 +161,8 @@ def _with_ids(out: dict, batch: pa.RecordBatch) -> dict:
 class Shard:
     """Confirms phrases, compiles them, streams stretches. Rows come by anchor, then by id.
 
-    A stretch that an earlier document has word for word is a confirmed passage as a whole. Each other one is
-    searched once by the automaton of the phrases confirmed with it.
+    A stretch that an earlier document has word for word is a confirmed passage as a whole. Every other one is
+    streamed once through the automaton of the phrases confirmed with it, which says where they are.
     """
 
     def __init__(self) -> None:
@@ -178,22 +180,19 @@ class Shard:
             return
         number = self.numbers
         words = tuple([number.setdefault(w, len(number)) for w in text.split(b" ")])
-        held = False
         for k in range(len(words) - WINDOW + 1):
             window = words[k:k + WINDOW]
             known = self.first.setdefault(window, id_)
             if known < id_:
                 self.recurring[window] = known
-                held = True
-        if held:
-            self.waiting.append((place, id_, words))
+        self.waiting.append((place, id_, words))
 
     def next_anchor(self) -> None:
         self.first, self.whole = {}, {}
 
     def search(self) -> list[tuple]:
         """Every occurrence in a later document since the last search."""
-        if self.waiting:
+        if self.recurring:
             automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
             for window, first in self.recurring.items():
                 automaton.add_word(window, first)
@@ -281,6 +280,25 @@ def _locate_windows(firsts: DataFrame) -> DataFrame:
         "anchor", "id", "hash", "start", (F.col("start") + WINDOW).alias("stop"))
 
 
+def first_texts(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The documents (id, hash, text) that are the first of their text, and (id, hash) of the copies.
+
+    The first ones are written once, bucketed by id and hash: what is found for them is joined without moving them.
+    """
+    spark = documents.sparkSession
+    ids = documents.select("id", "hash")
+    firsts = ids.groupBy("hash").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last")
+    copies = settle(ids.join(firsts, "hash").where("id > first").select("id", "hash").distinct(), "copies")
+    buckets, path = int(spark.conf.get("spark.sql.shuffle.partitions")), work_path(spark, "first-texts")
+    name = "first_texts_" + path[-32:]
+    kept = documents.join(copies, ["id", "hash"], "left_anti").repartition(buckets, "id", "hash")
+    kept.write.option("compression", "zstd").bucketBy(buckets, "id", "hash").option("path", path).saveAsTable(name)
+    first = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")  # the plan keeps its files and their buckets
+    release(spark)
+    return first, copies
+
+
 def repeated_ranges(documents: DataFrame, common: int = 512, shard_rows: int = 2000) -> DataFrame:
     """(id, hash, ranges) of the documents (id, hash, text) with words to remove.
 
@@ -327,7 +345,9 @@ def keep_first(df: DataFrame, id_column: str = "doc_id", text_column: str = "tex
     """
     text = F.coalesce(named(text_column).cast("binary"), F.lit(b""))
     documents = df.select(named(id_column).alias("id"), F.xxhash64(text).alias("hash"), text.alias("text"))
-    found = repeated_ranges(documents.where("id IS NOT NULL"), common, shard_rows)
+    first, copies = first_texts(documents.where("id IS NOT NULL"))
+    whole = F.array(F.struct(F.lit(0).cast("bigint").alias("start"), F.lit(WHOLE).cast("bigint").alias("stop")))
+    found = repeated_ranges(first, common, shard_rows).union(copies.select("id", "hash", whole.alias("ranges")))
     joined = documents.join(found, ["id", "hash"], "left").select("id", "text", "ranges")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
@@ -336,7 +356,9 @@ def keep_first(df: DataFrame, id_column: str = "doc_id", text_column: str = "tex
             for content, ranges in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
                 words = content.split()
                 left, at = [], 0
-                for a, b in sorted((r["start"], r["stop"]) for r in ranges or ()):
+                for a, b in sorted((r["start"], r["stop"] if r["stop"] != WHOLE else len(words)) for r in ranges or ()):
+                    if b - a < WINDOW:
+                        continue  # a copy without a window
                     left += words[at:a]
                     at = max(at, b)
                 left += words[at:]
