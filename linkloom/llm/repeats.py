@@ -288,7 +288,8 @@ def first_texts(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     spark = documents.sparkSession
     ids = documents.select("id", "hash")
     firsts = ids.groupBy("hash").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last")
-    copies = settle(ids.join(firsts, "hash").where("id > first").select("id", "hash").distinct(), "copies")
+    # distinct first: nothing after the join needs the copies of a text together, so Spark can split a hot text
+    copies = settle(ids.distinct().join(firsts, "hash").where("id > first").select("id", "hash"), "copies")
     buckets, path = int(spark.conf.get("spark.sql.shuffle.partitions")), work_path(spark, "first-texts")
     name = "first_texts_" + path[-32:]
     kept = documents.join(copies, ["id", "hash"], "left_anti").repartition(buckets, "id", "hash")
