@@ -201,10 +201,13 @@ FROM v JOIN least ON least.src = r LEFT JOIN degree ON degree.src = r
 
 @query
 def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
-    """The whitened components of every embedding, the fit on each different vector once."""
+    """The whitened components of every embedding, the fit on each different vector once.
+
+    A deviation that no long can hold is null here; the operator has it as a decimal.
+    """
     found = whitening.whiten(table(spark, folder, "embeddings"))
     return found.select(
-        F.col("id").alias("vec_id"), "n", F.col("deviation").cast("long").alias("deviation"), "identity_error", "explained",
+        F.col("id").alias("vec_id"), "n", F.col("deviation").try_cast("long").alias("deviation"), "identity_error", "explained",
         F.posexplode("whitened").alias("at", "whitened")).select(
         "vec_id", (F.col("at") + 1).alias("component"), "n", "deviation", "whitened",
         F.get("explained", "at").alias("explained"), "identity_error")
