@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
-from pyspark.sql import DataFrame
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Row
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 DAY = 24 * 3600 * 1_000_000  # microseconds; fixed value: how long a login is good for
@@ -23,48 +26,49 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 def expiring(name: str, key_type: str):
-    """A processor over spans (key, first, end in microseconds) that emits each session when the watermark passes its end."""
+    """A processor over spans (key, first, end in microseconds) that emits each session when the watermark passes its end.
+
+    A key costs a few calls to the state a batch: its spans are one value, and its only timer is at its next end. What
+    the watermark has passed is told where the key's rows are handled, so mostly keys without rows need their timer.
+    """
 
     class Expiring(StatefulProcessor):
         def init(self, handle: StatefulProcessorHandle) -> None:
             self._handle = handle
-            self._open = handle.getListState("open", "first bigint, end bigint")
+            # times: first and end of every span, in order
+            self._open = handle.getValueState("open", "times array<bigint>")
 
         def _spans(self) -> list[tuple[int, int]]:
-            return [(r[0], r[1]) for r in self._open.get()] if self._open.exists() else []
+            held = self._open.get()
+            return list(zip(held[0][::2], held[0][1::2])) if held else []
 
-        def _keep(self, spans: list[tuple[int, int]]) -> None:
-            if spans:
-                self._open.put(spans)
-            else:
+        def _keep(self, held: list[tuple[int, int]], spans: list[tuple[int, int]]) -> None:
+            if spans and spans != held:
+                self._open.update(([t for span in spans for t in span],))
+            elif held and not spans:
                 self._open.clear()
 
-        def _set_timers(self, spans: list[tuple[int, int]]) -> None:
-            """One for each end, since a timer set while timers fire waits for the next batch."""
-            wanted = {-(-end // 1000) for _, end in spans}  # milliseconds: never before the end
-            known = set(self._handle.listTimers())
-            for timer in known - wanted:
-                self._handle.deleteTimer(timer)
-            for timer in wanted - known:
-                self._handle.registerTimer(timer)
-
-        def _ended(self, value, spans: list[tuple[int, int]]) -> pd.DataFrame:
-            return pd.DataFrame({
-                name: pd.Series([value] * len(spans), dtype=object),
-                "first": pd.Series([a for a, _ in spans], dtype="int64"), "end": pd.Series([b for _, b in spans], dtype="int64")})
-
-        def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-            arrived = [(int(a), int(b)) for part in rows for a, b in zip(part["first"], part["end"])]
-            spans = merged(self._spans() + arrived)
-            self._keep(spans)
-            self._set_timers(spans)
-            yield self._ended(key[0], [])
-
-        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-            now = expiredTimerInfo.getExpiryTimeInMs() * 1000
-            spans = self._spans()
-            self._keep([s for s in spans if s[1] > now])
-            yield self._ended(key[0], [s for s in spans if s[1] <= now])
+        def _told(self, value, held: list[tuple[int, int]], spans: list[tuple[int, int]], now: int, fired: int | None) -> Iterator[Row]:
+            """The spans that have ended by ``now`` (milliseconds); the others are kept, with a timer for the next end."""
+            left = [s for s in spans if due(s[1]) > now]
+            self._keep(held, left)
+            before, wanted = due(held[0][1]) if held else None, due(left[0][1]) if left else None
+            if before != wanted:
+                if before is not None and before != fired:  # Spark takes away the one that fired
+                    self._handle.deleteTimer(before)
+                if wanted is not None:
+                    self._handle.registerTimer(wanted)
+            for first, end in spans[:len(spans) - len(left)]:
+                yield Row(**{name: value, "first": first, "end": end})
+
+        def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+            held = self._spans()
+            spans = merged(held + [(r["first"], r["end"]) for r in rows])
+            yield from self._told(key[0], held, spans, timerValues.getCurrentWatermarkInMs(), None)
+
+        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+            held = self._spans()
+            yield from self._told(key[0], held, held, timerValues.getCurrentWatermarkInMs(), expiredTimerInfo.getExpiryTimeInMs())
 
         def close(self) -> None:
             pass
@@ -72,6 +76,24 @@ def expiring(name: str, key_type: str):
     return Expiring(), f"{name} {key_type}, first bigint, end bigint"
 
 
+def due(end: int) -> int:
+    """Milliseconds of a timer for an end in microseconds: never before it."""
+    return -(-end // 1000)
+
+
+def login_spans(keys: pa.Array, at: pa.Array, life: int) -> tuple[pa.Array, pa.Array, pa.Array]:
+    """(keys, first, end) of the spans that logins (microseconds) open and extend; those without a time are none."""
+    timed = pc.is_valid(at)
+    keys, at = keys.filter(timed), at.filter(timed).to_numpy(zero_copy_only=False)
+    code = keys.dictionary_encode(null_encoding="encode").indices.to_numpy(zero_copy_only=False)
+    order = np.lexsort((at, code))
+    code, at = code[order], at[order]
+    opens = np.r_[True, (code[1:] != code[:-1]) | (at[1:] - at[:-1] >= life)][:len(at)]
+    begin = np.flatnonzero(opens)
+    last = np.r_[begin[1:], len(at)][:len(begin)] - 1
+    return keys.take(pa.array(order[begin])), pa.array(at[begin]), pa.array(at[last] + life)
+
+
 def expired_sessions(logins: DataFrame, key: str, ts: str, late: str = "1 hour", life: int = DAY) -> DataFrame:
     """(key, first, end) in microseconds: every session once, when the watermark passes its end; then its state is gone.
 
@@ -81,16 +103,11 @@ def expired_sessions(logins: DataFrame, key: str, ts: str, late: str = "1 hour",
     """
     key_type = dict(logins.dtypes)[key]
 
-    def spans(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def spans(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            rows = []
-            for value, own in part.groupby(key, dropna=False, sort=False)[ts]:
-                at = pd.to_datetime(own.dropna(), utc=True).dt.as_unit("us").astype("int64")
-                rows += [(value, a, b) for a, b in merged([(int(t), int(t) + life) for t in at])]
-            out = pd.DataFrame(rows, columns=[key, "first", "end"]).astype({key: object, "first": "int64", "end": "int64"})
-            out["last"] = pd.to_datetime(out["end"] - life, unit="us")
-            yield out
+            yield pa.RecordBatch.from_arrays([*login_spans(part.column(0), part.column(1), life)], [key, "first", "end"])
 
     processor, schema = expiring(key, key_type)
-    arrived = logins.select(key, ts).mapInPandas(spans, f"{key} {key_type}, first bigint, end bigint, last timestamp")
-    return arrived.withWatermark("last", late).groupBy(key).transformWithStateInPandas(processor, schema, "append", "EventTime")
+    arrived = logins.select(key, F.unix_micros(F.col(ts).cast("timestamp"))).mapInArrow(spans, f"{key} {key_type}, first bigint, end bigint")
+    timed = arrived.withColumn("last", F.timestamp_micros(F.col("end") - life)).withWatermark("last", late)
+    return timed.groupBy(key).transformWithState(processor, schema, "append", "EventTime")

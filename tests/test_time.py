@@ -3,6 +3,7 @@
 import datetime as dt
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -92,3 +93,72 @@ def test_sessions_end_once_and_leave_no_state(spark, tmp_path):
 def test_spans():
     assert expiry.merged([(5, 9), (0, 4), (3, 6), (9, 12)]) == [(0, 9), (9, 12)]
     assert expiry.merged([]) == []
+
+
+class Calls:
+    """One key's state and timers, counting the calls."""
+
+    def __init__(self):
+        self.value, self.timers, self.count = None, set(), 0
+
+    def getValueState(self, name, schema):
+        return self
+
+    def get(self):
+        self.count += 1
+        return self.value
+
+    def update(self, value):
+        self.count, self.value = self.count + 1, value
+
+    def clear(self):
+        self.count, self.value = self.count + 1, None
+
+    def registerTimer(self, at):
+        self.count += 1
+        self.timers.add(at)
+
+    def deleteTimer(self, at):
+        self.count += 1
+        self.timers.remove(at)
+
+
+class Times:
+    def __init__(self, now):
+        self.now = now
+
+    getCurrentWatermarkInMs = getExpiryTimeInMs = lambda self: self.now
+
+
+def test_a_key_costs_four_calls_a_batch_whatever_its_sessions():
+    draw, told, calls = random.Random(5), [], Calls()
+    processor, _ = expiry.expiring("who", "string")
+    processor.init(calls)
+    logins, now = [], 0
+    for batch in range(30):
+        arrived = [] if batch % 5 == 4 else [now * 1000 + draw.randrange(0, 400_001) for _ in range(draw.randrange(1, 12))]
+        logins += arrived
+        before = calls.count
+        if arrived:
+            told += processor.handleInputRows(("a",), [{"first": t, "end": t + 20_500} for t in arrived], Times(now))
+            assert calls.count - before <= 4
+        for timer in sorted(t for t in calls.timers if t <= now):
+            before = calls.count
+            told += [tuple(r) for r in processor.handleExpiredTimer(("a",), Times(now), Times(timer))]
+            calls.timers.discard(timer)
+            assert calls.count - before <= 4
+        assert len(calls.timers) <= 1
+        now += draw.randrange(100, 400)
+        assert all(t > 0 for t in calls.timers)
+    told += [tuple(r) for timer in list(calls.timers) for r in processor.handleExpiredTimer(("a",), Times(10**9), Times(timer))]
+    assert [tuple(r)[1:] for r in told] == expiry.merged([(t, t + 20_500) for t in logins])
+    assert calls.value is None
+
+
+def test_spans_of_one_arrow_batch():
+    draw = random.Random(6)
+    rows = [(draw.choice(["a", "b", None]), draw.choice([None, *range(0, 400, 7)])) for _ in range(300)]
+    found = expiry.login_spans(pa.array([k for k, _ in rows]), pa.array([t for _, t in rows], "int64"), 9)
+    expected = {(k, *span) for k in {k for k, _ in rows} for span in expiry.merged([(t, t + 9) for w, t in rows if w == k and t is not None])}
+    assert set(zip(*(c.to_pylist() for c in found))) == expected and len(found[0]) == len(expected)
+    assert [len(c) for c in expiry.login_spans(pa.array(["a"]), pa.array([None], "int64"), 9)] == [0, 0, 0]
