@@ -282,8 +282,9 @@ def _service(spark, sf, kinds=("singup", "login", "index")):
     }
     sent = messages.request_messages(orders, kind, F.col("o_orderkey"), **fields)
     base = work_path(spark, "service")
-    sent.repartition(4, "message_id").write.parquet(f"{base}/in")
-    stream = spark.readStream.schema(sent.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in")
+    files = spark.sparkContext.defaultParallelism  # of a batch
+    sent.repartition(4 * files, "message_id").write.parquet(f"{base}/in")
+    stream = spark.readStream.schema(sent.schema).option("maxFilesPerTrigger", files).parquet(f"{base}/in")
     known_users = SnapshotTable(spark, f"{base}/users", USER)
     known_users.write(users(spark, sf))
     known_tokens = SnapshotTable(spark, f"{base}/tokens", TOKEN, ["token"])

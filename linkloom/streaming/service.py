@@ -19,6 +19,14 @@ SHOWN = f"{OUTCOME}, id bigint, email string, name string"
 ACCEPTED = "message_id bigint, domain string, author_id bigint, outcome string"
 
 
+def spread_messages(batch: DataFrame) -> DataFrame:
+    """The messages of a batch over all tasks: a batch may come as one file, which one task reads.
+
+    They go by their whole content, so that ids that are missing or one busy type fill no task.
+    """
+    return batch.repartition(F.xxhash64("message_id", "type", "body"))
+
+
 class Service:
     """Users, tokens and crawl statistics with a folder of replies and accepted roots, (``out``).
 
@@ -35,7 +43,7 @@ class Service:
 
         def handle(batch: DataFrame, number: int) -> None:
             name = batch_name(batch, number, fallback)
-            now, batch = N.moment(as_of), batch.persist()
+            now, batch = N.moment(as_of), spread_messages(batch).persist()
             try:
                 self._sign_up(of_type(batch, "singup"), name, now, token)
                 self._log_in(of_type(batch, "login"), name, now, token)

@@ -176,3 +176,18 @@ def test_every_statistics_request_gets_an_answer(spark):
     asked = spark.createDataFrame([(1, "t1"), (2, "t2"), (3, "t9"), (4, None)], "message_id long, token string")
     got = {r["message_id"]: (r["status"], r["message"], r["domain"]) for r in N.stats_outcome(asked, held, crawled).collect()}
     assert got == {1: ("Ok", None, "a"), 2: ("Ok", "no statistics", None), 3: ("error", "token is not valid", None), 4: ("error", "forbidden", None)}
+
+
+def test_a_batch_of_one_file_is_worked_on_by_all_tasks(spark, tmp_path):
+    from linkloom.streaming.service import spread_messages
+    kinds = F.element_at(F.array(F.lit("singup"), F.lit("other")), (F.col("id") % 9 == 0).cast("int") + 1)
+    rows = spark.range(4000).select(F.when(F.col("id") % 4 > 0, F.col("id")).alias("message_id"), kinds.alias("type"), F.col("id").cast("string").alias("body"))
+    rows.coalesce(1).write.parquet(f"{tmp_path}/in")
+    stored = spark.read.parquet(f"{tmp_path}/in")
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # it would join parts as small as these
+    try:
+        sizes = [r["count"] for r in spread_messages(stored).groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    assert len(sizes) == 4 and sum(sizes) == 4000 and max(sizes) < 1400  # rows without an id too
