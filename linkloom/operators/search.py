@@ -270,6 +270,12 @@ def search_documents(documents: DataFrame, queries: DataFrame, deepest: int | No
     document, since scores and statistics both need them. They are bucketed by url, so that scores
     add up in their bucket, and a bucket sends a query's best hits only. Urls must be unique within an index: scores are by url.
     """
+    matches, totals = matching_postings(documents, queries)
+    return search_many(queries, matches, term_statistics(matches), totals, deepest)
+
+
+def matching_postings(documents: DataFrame, queries: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The postings of the query words, bucketed by url, and the totals of all documents: one pass over the texts."""
     by = _by(documents)
     wanted = query_terms(queries, by).select(*by, "term")
     few = wanted.limit(FEW_WORDS + 1).count() <= FEW_WORDS
@@ -282,9 +288,7 @@ def search_documents(documents: DataFrame, queries: DataFrame, deepest: int | No
 
     kept = keep(postings(documents, MARK))
     small = settle_bucketed(kept, "postings", "url")
-    matches = small.filter(F.col("term") != MARK)
-    totals = corpus_totals(small.filter(F.col("term") == MARK))
-    return search_many(queries, matches, term_statistics(matches), totals, deepest)
+    return small.filter(F.col("term") != MARK), corpus_totals(small.filter(F.col("term") == MARK))
 
 
 def search_after(queries: DataFrame, postings: DataFrame, term_stats: DataFrame, totals: DataFrame) -> DataFrame:
@@ -292,16 +296,21 @@ def search_after(queries: DataFrame, postings: DataFrame, term_stats: DataFrame,
 
     ``queries`` is (query_id, q, limit, after_score, after_url[, index_name]); the cursor is the last hit of the page
     before, or nulls for the first page. Hits up to the cursor are cut off where they are scored, so a deep page costs
-    no more than the first, and hits that came or went on earlier pages shift nothing.
+    no more than the first, and hits that came or went on earlier pages shift nothing. Queries of at most ``FEW_TERMS``
+    words go to the postings: of those bucketed by url, a bucket sends a query's best hits only.
     """
     by = _by(postings)
     asked = queries.filter(F.col("limit") > 0)
     keys = [*by, "query_id"]
-    hits = score(postings, term_stats, totals, query_terms(asked, keys), keys)
+    # a query without words counts too, as its cursor is sent
+    largest, size = asked.agg(
+        F.coalesce(F.max("limit"), F.lit(0)), F.coalesce(F.sum(F.lit(1) + F.size(tokens(F.coalesce("q", F.lit(""))))), F.lit(0))
+    ).first()
+    few = size <= FEW_TERMS
+    hits = score(postings, term_stats, totals, query_terms(asked, keys), keys, few)
     cursors = asked.select(*keys, F.col("limit").alias("_limit"), "after_score", "after_url")
     behind = (F.col("score") < F.col("after_score")) | ((F.col("score") == F.col("after_score")) & (F.col("url") > F.col("after_url")))
-    left = hits.join(cursors, keys).filter(F.col("after_score").isNull() | behind)
-    largest = asked.agg(F.coalesce(F.max("limit"), F.lit(0))).first()[0]
+    left = hits.join(F.broadcast(cursors) if few else cursors, keys).filter(F.col("after_score").isNull() | behind)
     placed = numbered_between(left, keys, hit_order(), 1, largest, "rank")
     return placed.filter(F.col("rank") <= F.col("_limit")).select("query_id", "rank", "url", "score")
 

@@ -145,3 +145,18 @@ def test_odd_markup_takes_linear_time(spark, piece):
 
     took(1000)
     assert took(40_000) < 2 + 4 * took(10_000)
+
+
+def test_hits_after_a_cursor_add_up_in_their_bucket(spark):
+    docs = spark.createDataFrame([(f"u{k}", "a " * (k % 5) + "b") for k in range(40)] + [("none", None)], "url string, content string")
+    schema = "query_id int, q string, limit int, after_score double, after_url string"
+    asked = spark.createDataFrame([(1, "a b", 7, None, None), (2, "a", 3, None, None), (3, None, 3, None, None)], schema)
+    held, totals = S.matching_postings(docs, asked.select("query_id", "q"))
+    assert totals.first()[:] == (41, 120)
+    found = S.search_after(asked, held, S.term_statistics(held), totals)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan
+    assert "url#" not in "".join(line for line in plan.split("\n") if "hashpartitioning" in line)
+    plain = S.postings(docs)
+    expected = S.search_after(asked, plain, S.term_statistics(plain), S.corpus_totals(S.document_lengths(docs)))
+    assert sorted(found.collect()) == sorted(expected.collect()) and found.count() == 10
