@@ -11,7 +11,11 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 from linkloom.functions.html import hrefs
 from linkloom.functions.urls import url_join
 from linkloom.operators.links import LINK_STOPS, PAGE_STOPS, contains_any, in_site
-from linkloom.session import work_path
+from linkloom.operators.ranks import running_number
+from linkloom.session import settle, work_path
+
+# roots in one row of a walk by sets: bits of a long without its sign
+SET_ROOTS = 63
 
 
 class _Tables:
@@ -43,11 +47,11 @@ class _Tables:
         """Store a level; how many urls it has comes with the write, without another job."""
         size = Observation()
         urls = urls.observe(size, F.count(F.lit(1)).alias("urls"))
-        urls.select("root", "url", F.lit(depth).alias("depth")).write.insertInto(self.seen)
+        urls.withColumn("depth", F.lit(depth)).write.insertInto(self.seen)
         return size.get["urls"]
 
     def level(self, depth: int) -> DataFrame:
-        return self.spark.table(self.seen).filter(F.col("depth") == depth).select("root", "url")
+        return self.spark.table(self.seen).filter(F.col("depth") == depth).drop("depth")
 
     def close(self) -> None:
         """Take the tables out of the catalog; the files stay."""
@@ -70,6 +74,38 @@ def next_level(level: DataFrame, links: DataFrame, seen: DataFrame, per_root: bo
     return found.join(seen.select("root", "url").hint("merge"), ["root", "url"], "left_anti")
 
 
+def in_sets(starts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Starts (root, url) as (root, url, bits), and the roots' places (name, root, bit).
+
+    ``root`` is then the number of a set of up to ``SET_ROOTS`` roots, ``bits`` those of them that reach the url.
+    """
+    numbered = running_number(starts.select(F.col("root").alias("name")).distinct(), [], [F.col("name")], "_n")
+    place = F.col("_n") - 1
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), (place % SET_ROOTS).cast("int"))
+    places = settle(numbered.select("name", F.floor(place / SET_ROOTS).alias("root"), bit.alias("bit")), "places")
+    named = starts.select(F.col("root").alias("name"), "url").join(places, "name")
+    return named.groupBy("root", "url").agg(F.bit_or("bit").alias("bits")), places
+
+
+def next_sets(level: DataFrame, links: DataFrame, seen: DataFrame) -> DataFrame:
+    """``next_level`` for sets of roots (root, url, bits): a link is followed once for all roots of a set.
+
+    What is left are the bits by which no level has the url.
+    """
+    found = level.join(links, F.col("url") == F.col("src")).select("root", F.col("dst").alias("url"), "bits")
+    found = found.filter(F.col("url").isNotNull()).groupBy("root", "url").agg(F.bit_or("bits").alias("bits"))
+    known = seen.groupBy("root", "url").agg(F.bit_or("bits").alias("_seen"))  # in its buckets: nothing moves
+    left = F.col("bits").bitwiseAND(F.bitwise_not(F.coalesce("_seen", F.lit(0).cast("bigint"))))
+    fresh = found.join(known.hint("merge"), ["root", "url"], "left").select("root", "url", left.alias("bits"))
+    return fresh.filter(F.col("bits") != 0)
+
+
+def out_of_sets(levels: DataFrame, places: DataFrame) -> DataFrame:
+    """(root, url, depth) of the levels (root, url, bits, depth) of sets."""
+    match = (levels["root"] == places["root"]) & (F.col("bits").bitwiseAND(F.col("bit")) != 0)
+    return levels.join(places, match).select(F.col("name").alias("root"), "url", "depth")
+
+
 def reach(
     edges: DataFrame,
     roots: DataFrame,
@@ -89,13 +125,19 @@ def reach(
     seen urls is the loop state that survives lost executors, and at the end the result. All roots advance
     in the same jobs. ``buckets`` is ``spark.sql.shuffle.partitions`` unless given; a shuffle and a bucketed
     table with the same number of parts need no further exchange.
+
+    Where the links are the same for all roots and the target needs no root, roots walk in sets: a url is one row for
+    the roots of a set that reach it at a depth, so links are followed once for all of them.
     """
     spark = edges.sparkSession
     per_root = "root" in edges.columns
     if per_root:
         edges = edges.withColumnRenamed("root", "_edge_root")
     start = roots.select("root", (F.col("url") if "url" in roots.columns else F.col("root")).alias("url"))
+    start = start.filter(F.col("root").isNotNull() & F.col("url").isNotNull()).distinct()
     target = follow() if follow else F.col("dst")
+    by_sets = not (per_root or follow)
+    first, places = in_sets(start) if by_sets else (start, None)
     tables = _Tables(spark, buckets)
     # a bucket of one file is sorted as it was written; without this Spark sorts the links again at every level
     settings = {"spark.sql.legacy.bucketedTableScan.outputOrdering": "true", "spark.sql.shuffle.partitions": str(tables.buckets)}
@@ -104,12 +146,13 @@ def reach(
         for name, value in settings.items():
             spark.conf.set(name, value)
         tables.write_links(edges, ["_edge_root", "src"] if per_root else ["src"])
-        tables.create_seen(start.schema)
-        tables.add(start.filter(F.col("root").isNotNull() & F.col("url").isNotNull()).distinct(), 0)
+        tables.create_seen(first.schema)
+        tables.add(first, 0)
         links, seen = spark.table(tables.links), spark.table(tables.seen)
         depth = 0
         while max_depth is None or depth < max_depth:
-            fresh = next_level(tables.level(depth), links, seen, per_root, target)
+            level = tables.level(depth)
+            fresh = next_sets(level, links, seen) if by_sets else next_level(level, links, seen, per_root, target)
             depth += 1
             if not tables.add(fresh, depth):
                 break
@@ -118,8 +161,9 @@ def reach(
         for name, value in before.items():
             spark.conf.set(name, value)
         tables.close()
-    levels = spark.read.schema(StructType(start.schema.fields + [StructField("depth", IntegerType())]))
-    return levels.parquet(f"{tables.folder}/seen").select("root", "url", "depth")
+    levels = spark.read.schema(StructType(first.schema.fields + [StructField("depth", IntegerType())]))
+    levels = levels.parquet(f"{tables.folder}/seen")
+    return out_of_sets(levels, places) if by_sets else levels.select("root", "url", "depth")
 
 
 def candidate_links(

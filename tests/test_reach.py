@@ -104,3 +104,36 @@ def test_links_of_one_root_each_and_odd_rows(spark):
     assert {(r.root, r.url, r.depth) for r in R.reach(edges, roots).collect()} == {("r", "r", 0), ("r", "x", 1)}
     assert R.reach(edges, roots.limit(0)).count() == 0
     assert {tuple(r) for r in R.reach(edges.limit(0), roots).collect()} == {("r", "r", 0)}
+
+
+def test_roots_of_a_set_follow_a_link_once(spark):
+    """Seventy roots, more than a set holds, reach one page: a link of it is one row for each set, and no stored table moves."""
+    pairs = [(f"u{k}", "hub") for k in range(70)] + [("hub", f"v{k}") for k in range(50)] + [("v1", "u3"), ("v2", None), (None, "u5")]
+    roots = [f"u{k}" for k in range(70)]
+    edges = spark.createDataFrame(pairs, "src string, dst string")
+    found = R.reach(edges, spark.createDataFrame([(r,) for r in roots], "root string")).collect()
+    near = walk([(s, d) for s, d in pairs if s and d], roots)
+    assert {(r.root, r.url): r.depth for r in found} == near and len(found) == len(near)
+    starts = spark.createDataFrame([(r, "hub") for r in roots] + [("u1", "v9")], "root string, url string")
+    first, places = R.in_sets(starts)
+    tables = R._Tables(spark, BUCKETS)
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.legacy.bucketedTableScan.outputOrdering": "true", "spark.sql.shuffle.partitions": str(BUCKETS)}
+    before = {name: spark.conf.get(name) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        tables.write_links(edges, ["src"])
+        tables.create_seen(first.schema)
+        assert tables.add(first, 0) == 3  # (set, hub) twice, (set, v9)
+        fresh = R.next_sets(tables.level(0), spark.table(tables.links), spark.table(tables.seen))
+        assert fresh.count() == 100 and fresh.filter("url = 'v9'").count() == 2
+        plan = plan_of(fresh)
+        assert plan.count("Exchange hashpartitioning(root") == 1 and plan.count("Exchange ") == 2, plan
+        tables.add(fresh, 1)
+        levels = spark.table(tables.seen)
+        told = {(r.root, r.url, r.depth) for r in R.out_of_sets(levels, places).collect()}
+        assert told == {(r, "hub", 0) for r in roots} | {("u1", "v9", 0)} | {(r, f"v{k}", 1) for r in roots for k in range(50)} - {("u1", "v9", 1)}
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+        tables.close()
