@@ -42,9 +42,12 @@ def credential(password: Column) -> Column:
 
 
 def _one_per(df: DataFrame, key: str, order: str, *columns: str) -> DataFrame:
-    """One row per key, the one with the smallest order; partial before the shuffle."""
-    first = F.min_by(F.struct(*columns), F.col(order)).alias("_first")
-    return df.groupBy(key).agg(first).select(key, "_first.*")
+    """One row per key, the one with the smallest order; partial before the shuffle.
+
+    Each column by itself: Spark adds up numbers and times by hash, but would sort all rows for a struct of them. All
+    of them compare the same orders in the same turn, so they are of one row.
+    """
+    return df.groupBy(key).agg(*[F.min_by(c, F.col(order)).alias(c) for c in columns])
 
 
 class SignUp(NamedTuple):
@@ -107,6 +110,7 @@ class LogIn(NamedTuple):
     outcomes: DataFrame
     tokens: DataFrame
     users: DataFrame
+    renewed: DataFrame
 
 
 def log_in(
@@ -120,20 +124,22 @@ def log_in(
     """Requests (message_id, email, password) against users and tokens.
 
     A wrong pair gives an error outcome. A user keeps the token they have, or gets one, and its
-    life is a day from ``as_of``. ``tokens`` of the result is the whole table after the change. A random token is
-    drawn once for a user and written.
+    life is a day from ``as_of``. ``tokens`` of the result is the whole table after the change, ``renewed`` the rows
+    that are new in it. A random token is drawn once for a user and written.
     """
     as_of = moment(as_of)
+    asked = requests.select("message_id", "email", credential(F.col("password")).alias("_digest"))
     known = users.select(F.col("id").alias("user_id"), "email", F.col("password").alias("_digest"))
-    # only users that are asked for: what is written follows the requests, not the users
-    known = known.join(requests.select("email").distinct(), "email", "left_semi")
-    known = first_per_key(known, ["email", "_digest"], [F.col("user_id")])
+    # only users that log in: what is written follows the requests, not the users, and the requests need not be
+    # brought down to users again
+    known = known.join(asked.select("email", "_digest").distinct(), ["email", "_digest"], "left_semi")
+    # written: both the search for their tokens and the join with them need it
+    known = settle(first_per_key(known, ["email", "_digest"], [F.col("user_id")]), "logging-in")
     held = _one_per(tokens.join(known.select("user_id"), "user_id", "left_semi"), "user_id", "id", "token", "id")
     known = known.join(held, "user_id", "left").withColumn(
         "token", F.coalesce("token", random_id() if token is None else token)
     )
     known = settle(known, "logged-in") if token is None else known
-    asked = requests.select("message_id", "email", credential(F.col("password")).alias("_digest"))
     given = join_keeping(asked, known, ["email", "_digest"], "message_id")
     expire = session_expiry(as_of)
     good = F.col("user_id").isNotNull()
@@ -144,18 +150,17 @@ def log_in(
         "token",
         F.when(good, expire).alias("expire_date"),
     )
-    renewed = given.filter(good).select(
-        "token", "user_id", expire.alias("expire_date"), F.coalesce("id", "user_id").alias("id")
-    ).distinct()
+    came = known.filter(good)
+    renewed = came.select("token", "user_id", expire.alias("expire_date"), F.coalesce("id", "user_id").alias("id"))
     after = upsert(tokens, renewed, ["token"])
     seen_users = users
     if touch_login:
-        came = given.filter(good).select(F.col("user_id").alias("id")).distinct()
+        came = came.select(F.col("user_id").alias("id")).distinct()
         marked = users.join(came.withColumn("_came", F.lit(True)), "id", "left")
         seen_users = marked.withColumn(
             "last_login_date", F.when(F.col("_came"), as_of).otherwise(F.col("last_login_date"))
         ).select(*users.columns)
-    return LogIn(outcomes, after, seen_users)
+    return LogIn(outcomes, after, seen_users, renewed)
 
 
 def check_sessions(requests: DataFrame, tokens: DataFrame, users: DataFrame, as_of: Column | None = None) -> DataFrame:

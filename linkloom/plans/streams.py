@@ -14,7 +14,7 @@ from linkloom.plans.links import CONTENT_SQL
 from linkloom.plans.registry import query
 from linkloom.plans.search import TEXT, _ranked
 from linkloom.plans.sessions import _CHECK_SQL, AS_OF_SQL, as_of, token_of, tokens, users
-from linkloom.session import work_path
+from linkloom.session import settle, work_path
 from linkloom.sources.snapshots import SnapshotTable
 from linkloom.sources.tables import table, table_stream
 from linkloom.streaming import chat, expiry, keyed, messages
@@ -292,7 +292,7 @@ def _service(spark, sf, kinds=("singup", "login", "index")):
     crawled = table(spark, sf, "orders").filter("o_custkey % 2 = 0").select(
         F.concat(F.lit("https://site"), F.col("o_custkey").cast("string")).alias("domain"), F.lit(1).cast("bigint").alias("author_id"),
         as_of().alias("time"), F.lit(1).cast("bigint").alias("pages_count")).distinct()
-    service = Service(known_users, known_tokens, crawled, f"{base}/out")
+    service = Service(known_users, known_tokens, settle(crawled, "crawled"), f"{base}/out")  # each batch reads it
     run_batches(stream, service.handler(as_of()), f"{base}/checkpoint")
     return service
 

@@ -42,6 +42,21 @@ def of_type(messages: DataFrame, kind: str) -> DataFrame:
     return messages.filter(F.col("type") == kind).select("message_id", decoded).select("message_id", "_body.*")
 
 
+def decode_types(messages: DataFrame, kinds: list[str]) -> DataFrame:
+    """(message_id, type) and for each kind a column with the decoded bodies of its messages.
+
+    Meant to be stored or persisted: what reads ``decoded_of`` it parses no body again, while each field and
+    condition on top of ``of_type`` may become another parse of the body.
+    """
+    bodies = [F.when(F.col("type") == k, decode_body(F.col("body"), BODIES[k])).alias(k) for k in kinds]
+    return messages.select("message_id", "type", *bodies)
+
+
+def decoded_of(decoded: DataFrame, kind: str) -> DataFrame:
+    """``of_type`` of messages that ``decode_types`` decoded."""
+    return decoded.filter(F.col("type") == kind).select("message_id", f"{kind}.*")
+
+
 def dispatcher(
     handlers: dict[str, Callable[[DataFrame], DataFrame]], out: str
 ) -> Callable[[DataFrame, int], None]:

@@ -11,12 +11,13 @@ from pyspark.sql import functions as F
 from linkloom.operators import sessions as N
 from linkloom.session import path_exists
 from linkloom.sources.snapshots import SnapshotTable
-from linkloom.streaming.messages import of_type
+from linkloom.streaming.messages import decode_types, decoded_of
 from linkloom.streaming.run import batch_name
 
 OUTCOME = "message_id bigint, status string, message string"
 SHOWN = f"{OUTCOME}, id bigint, email string, name string"
 ACCEPTED = "message_id bigint, domain string, author_id bigint, outcome string"
+KINDS = ["singup", "login", "current", "index"]
 
 
 def spread_messages(batch: DataFrame) -> DataFrame:
@@ -43,12 +44,13 @@ class Service:
 
         def handle(batch: DataFrame, number: int) -> None:
             name = batch_name(batch, number, fallback)
-            now, batch = N.moment(as_of), spread_messages(batch).persist()
+            # decoded before it is kept: each step reads its messages several times
+            now, batch = N.moment(as_of), decode_types(spread_messages(batch), KINDS).persist()
             try:
-                self._sign_up(of_type(batch, "singup"), name, now, token)
-                self._log_in(of_type(batch, "login"), name, now, token)
-                self._current(of_type(batch, "current"), name, now)
-                self._index(of_type(batch, "index"), name, now)
+                self._sign_up(decoded_of(batch, "singup"), name, now, token)
+                self._log_in(decoded_of(batch, "login"), name, now, token)
+                self._current(decoded_of(batch, "current"), name, now)
+                self._index(decoded_of(batch, "index"), name, now)
             finally:
                 batch.unpersist()
 
@@ -73,9 +75,9 @@ class Service:
         if self.tokens.applied(mark) is not None:
             return
         logged = N.log_in(asked, self.users.read(), self.tokens.read(), now, token=token)
-        after = self._once("login-tokens", name, lambda: logged.tokens)
+        renewed = self._once("login-tokens", name, lambda: logged.renewed)
         self._once("login", name, lambda: logged.outcomes.select("message_id", "status", "message"))
-        self.tokens.write(after, mark)
+        self.tokens.upsert(renewed, batch=mark)
 
     def _current(self, asked: DataFrame, name: tuple[str, int], now: Column) -> None:
         """Who a token belongs to, by the tables after the batch's sign-ups and logins."""

@@ -207,3 +207,46 @@ def test_crawl_to_index(spark):
     assert {tuple(r) for r in made.documents.collect()} == {("httpsa.t", "https://a.t", "x"), ("httpsa.t", "https://a.t/1", "y z")}
     assert {(r["domain"], r["author_id"], r["pages_count"]) for r in made.statistics.collect()} == {
         ("https://a.t", 1, 2), ("https://a.t", 2, 2), ("https://c.t", 3, 0)}
+
+
+def test_bodies_are_parsed_before_the_batch_is_kept(spark, tmp_path):
+    """What a step reads of a kept batch holds no parse, and the fields are those of ``of_type``, odd bodies too."""
+    from linkloom.streaming import messages as M
+    from linkloom.streaming.service import KINDS
+    rows = [(1, "login", '{"email":"a","password":"p"}'), (None, "login", '{"email":"a"}'), (2, "login", "no body"), (3, "login", None),
+            (4, "index", '{"domain":"d","token":null}'), (5, "other", '{"email":"x"}'), (6, None, '{"email":"y"}'), (4, "index", '{"token":"t"}')]
+    batch = spark.createDataFrame(rows, "message_id long, type string, body string")
+    kept = M.decode_types(batch, KINDS).persist()
+    try:
+        for kind in KINDS:
+            read = M.decoded_of(kept, kind)
+            plan = read.filter("message_id > 0")._jdf.queryExecution().optimizedPlan().toString()
+            assert "from_json" not in plan.split("InMemoryRelation")[0], plan
+            as_before = M.of_type(batch, kind)
+            assert read.columns == as_before.columns
+            assert sorted(map(str, read.collect())) == sorted(map(str, as_before.collect()))
+    finally:
+        kept.unpersist()
+
+
+def test_a_batch_of_logins_writes_the_tokens_it_renews(spark, tmp_path):
+    """Not the whole table once more; a login twice in a batch and a wrong one renew one token."""
+    from linkloom.operators.schema import USER
+    from linkloom.operators.sessions import credential
+    from linkloom.streaming.service import Service
+    users, tokens = SnapshotTable(spark, str(tmp_path / "users"), USER), SnapshotTable(spark, str(tmp_path / "tokens"), TOKEN, ["token"])
+    now = F.lit(dt.datetime(2024, 5, 1)).cast("timestamp_ntz")
+    users.write(spark.range(50).select("id", F.concat(F.lit("u"), "id").alias("email"), credential(F.lit("p")).alias("password"),
+                                       F.lit("n").alias("name"), now.alias("created_date"), now.alias("last_login_date")))
+    tokens.write(spark.range(40).select(F.concat(F.lit("t"), "id").alias("token"), F.col("id").alias("user_id"), now.alias("expire_date"), "id"))
+    stats = spark.createDataFrame([], "domain string, author_id long, time timestamp_ntz, pages_count long")
+    service = Service(users, tokens, stats, str(tmp_path / "out"))
+    body = '{"email":"%s","password":"%s"}'
+    asked = [(1, "login", body % ("u1", "p")), (2, "login", body % ("u1", "p")), (3, "login", body % ("u2", "x")), (4, "login", body % ("u45", "p"))]
+    service.handler(now)(spark.createDataFrame(asked, "message_id long, type string, body string"), 0)
+    written = spark.read.parquet(f"{tmp_path}/out/login-tokens").collect()
+    assert sorted(r["user_id"] for r in written) == [1, 45]
+    after = {r["user_id"]: (r["token"], r["expire_date"]) for r in tokens.read().collect()}
+    assert len(after) == tokens.read().count() == 41 and after[1] == ("t1", dt.datetime(2024, 5, 2)) and after[2] == ("t2", dt.datetime(2024, 5, 1))
+    assert after[45][1] == dt.datetime(2024, 5, 2)
+    assert {r["message_id"]: r["status"] for r in service.replies("login").collect()} == {1: "Ok", 2: "Ok", 3: "error", 4: "Ok"}
