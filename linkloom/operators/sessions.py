@@ -10,6 +10,7 @@ requests without a key are spread (``join_keeping``).
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 
 from linkloom.functions.scalars import is_fresh, random_id, session_expiry, still_valid
 from linkloom.operators.requests import token_outcome
-from linkloom.operators.ranks import first_per_key, join_keeping, running_number
+from linkloom.operators.ranks import join_keeping, running_number
 from linkloom.operators.rows import upsert
 from linkloom.session import settle
 
@@ -62,12 +63,13 @@ def sign_up(
     as_of: Column | None = None,
     first_id: Column | None = None,
     token: Column | None = None,
+    keep: Callable[[DataFrame], DataFrame] | None = None,
 ) -> SignUp:
     """Requests (message_id, email, password, name) against the users.
 
     The smallest message id wins an email within the batch; an email already taken or lost to
     another request is refused. A winner gets the next user id and a one-day token. A random token is drawn once
-    and written, so that outcomes and tokens agree.
+    and written, so that outcomes and tokens agree; ``keep`` says where, it writes what the requests got and reads it.
     """
     as_of = moment(as_of)
     requests = requests.select("message_id", "email", "password", "name")
@@ -78,14 +80,21 @@ def sign_up(
         .agg(F.min("message_id").alias("message_id"))
         .join(users.select("email"), "email", "left_anti")
     )
-    winners = running_number(open_emails, [], [F.col("message_id")], "_place")
+    # written before they are numbered: bounds are sampled first, which would make the join twice
+    winners = running_number(settle(open_emails.select("message_id"), "open-emails"), [], [F.col("message_id")], "_place")
     top = users.agg(F.coalesce(F.max("id"), F.lit(-1))).scalar() if first_id is None else first_id - 1
     winners = winners.select("message_id", (top + F.col("_place")).cast("bigint").alias("user_id"))
+    won = F.col("user_id").isNotNull()
     named = requests.join(winners, "message_id", "left").withColumns({
-        "token": F.when(F.col("user_id").isNotNull(), random_id() if token is None else token),
-        "expire_date": F.when(F.col("user_id").isNotNull(), session_expiry(as_of)),
+        "token": F.when(won, random_id() if token is None else token),
+        "expire_date": F.when(won, session_expiry(as_of)),
+        # no password is written: of the others only whether there was one
+        "password": F.when(won, credential(F.col("password"))).otherwise(F.substring("password", 1, 0)),
     })
-    named = settle(named, "signed-up") if token is None else named
+    if keep is not None:
+        named = keep(named)
+    elif token is None:
+        named = settle(named, "signed-up")
     outcomes = named.select(
         "message_id",
         F.when(F.col("user_id").isNotNull(), F.lit("Ok")).otherwise(F.lit("error")).alias("status"),
@@ -97,7 +106,7 @@ def sign_up(
     new_users = made.select(
         F.col("user_id").alias("id"),
         "email",
-        credential(F.col("password")).alias("password"),
+        "password",
         "name",
         as_of.alias("created_date"),
         as_of.alias("last_login_date"),
@@ -134,7 +143,9 @@ def log_in(
     # brought down to users again
     known = known.join(asked.select("email", "_digest").distinct(), ["email", "_digest"], "left_semi")
     # written: both the search for their tokens and the join with them need it
-    known = settle(first_per_key(known, ["email", "_digest"], [F.col("user_id")]), "logging-in")
+    # the smallest id of a pair, none where one is missing; a sum by hash, where a row number would sort the users
+    first = F.when(~F.max(F.col("user_id").isNull()), F.min("user_id")).alias("user_id")
+    known = settle(known.groupBy("email", "_digest").agg(first), "logging-in")
     held = _one_per(tokens.join(known.select("user_id"), "user_id", "left_semi"), "user_id", "id", "token", "id")
     known = known.join(held, "user_id", "left").withColumn(
         "token", F.coalesce("token", random_id() if token is None else token)

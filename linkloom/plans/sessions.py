@@ -41,10 +41,14 @@ def token_of(user):
     return C.repeatable_id(F.lit("token"), user)
 
 
-def users(spark, sf):
-    dates = table(spark, sf, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(
-        F.min("o_orderdate").alias("created_date"), F.max("o_orderdate").alias("last_login_date")
-    )
+def order_dates(spark, sf):
+    """The first and the last order of each customer."""
+    return table(spark, sf, "orders").groupBy("o_custkey").agg(F.min("o_orderdate").alias("first"), F.max("o_orderdate").alias("last"))
+
+
+def users(spark, sf, dates=None):
+    dates = order_dates(spark, sf) if dates is None else dates
+    dates = dates.select(F.col("o_custkey").alias("c_custkey"), F.col("first").alias("created_date"), F.col("last").alias("last_login_date"))
     return table(spark, sf, "customer").join(dates, "c_custkey", "left").select(
         F.col("c_custkey").alias("id"),
         F.concat(F.lower("c_name"), F.lit("@mail.test")).alias("email"),
@@ -55,9 +59,9 @@ def users(spark, sf):
     )
 
 
-def tokens(spark, sf):
-    last = table(spark, sf, "orders").groupBy("o_custkey").agg(F.max("o_orderdate").alias("last"))
-    return last.select(
+def tokens(spark, sf, dates=None):
+    dates = order_dates(spark, sf) if dates is None else dates
+    return dates.select(
         token_of(F.col("o_custkey")).alias("token"),
         F.col("o_custkey").alias("user_id"),
         C.session_expiry(F.col("last")).alias("expire_date"),

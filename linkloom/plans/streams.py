@@ -13,7 +13,7 @@ from linkloom.operators.schema import TOKEN, USER
 from linkloom.plans.links import CONTENT_SQL
 from linkloom.plans.registry import query
 from linkloom.plans.search import TEXT, _ranked
-from linkloom.plans.sessions import _CHECK_SQL, AS_OF_SQL, as_of, token_of, tokens, users
+from linkloom.plans.sessions import _CHECK_SQL, AS_OF_SQL, as_of, order_dates, token_of, tokens, users
 from linkloom.session import settle, work_path
 from linkloom.sources.snapshots import SnapshotTable
 from linkloom.sources.tables import table, table_stream
@@ -268,7 +268,9 @@ _KIND_SQL = "CASE o_orderkey % 3 WHEN 0 THEN 'singup' WHEN 1 THEN 'login' ELSE '
 
 def _service(spark, sf, kinds=("singup", "login", "index")):
     """All messages through the service in four batches, each with the tables its predecessor left."""
-    orders = table(spark, sf, "orders")
+    files = spark.sparkContext.defaultParallelism  # of a batch
+    # placed by message id while the rows are narrow, before bodies are made
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority").repartition(4 * files, "o_orderkey")
     kind = F.element_at(F.array(*map(F.lit, kinds)), (F.col("o_orderkey") % 3 + 1).cast("int"))
     name = F.concat(F.lit("Customer#"), F.lpad(F.col("o_custkey").cast("string"), 9, "0"))
     mail = F.concat(F.lower(name), F.lit("@mail.test"))
@@ -282,16 +284,16 @@ def _service(spark, sf, kinds=("singup", "login", "index")):
     }
     sent = messages.request_messages(orders, kind, F.col("o_orderkey"), **fields)
     base = work_path(spark, "service")
-    files = spark.sparkContext.defaultParallelism  # of a batch
-    sent.repartition(4 * files, "message_id").write.parquet(f"{base}/in")
+    sent.write.parquet(f"{base}/in")
     stream = spark.readStream.schema(sent.schema).option("maxFilesPerTrigger", files).parquet(f"{base}/in")
     known_users = SnapshotTable(spark, f"{base}/users", USER)
-    known_users.write(users(spark, sf))
+    dates = settle(order_dates(spark, sf), "order-dates")  # users, tokens and crawled domains are made of it
+    known_users.write(users(spark, sf, dates))
     known_tokens = SnapshotTable(spark, f"{base}/tokens", TOKEN, ["token"])
-    known_tokens.write(tokens(spark, sf))
-    crawled = table(spark, sf, "orders").filter("o_custkey % 2 = 0").select(
+    known_tokens.write(tokens(spark, sf, dates))
+    crawled = dates.filter("o_custkey % 2 = 0").select(
         F.concat(F.lit("https://site"), F.col("o_custkey").cast("string")).alias("domain"), F.lit(1).cast("bigint").alias("author_id"),
-        as_of().alias("time"), F.lit(1).cast("bigint").alias("pages_count")).distinct()
+        as_of().alias("time"), F.lit(1).cast("bigint").alias("pages_count"))
     service = Service(known_users, known_tokens, settle(crawled, "crawled"), f"{base}/out")  # each batch reads it
     run_batches(stream, service.handler(as_of()), f"{base}/checkpoint")
     return service

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -38,6 +40,24 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+# Up to this size of each of its parts a join's side is taken for a hash table.
+HASH_JOIN_PART = "64m"
+
+
+@contextlib.contextmanager
+def joining_by_hash(*sessions: SparkSession) -> Iterator[None]:
+    """Inside, AQE joins without sorting wherever every part of a side turns out to be small; other joins sort as ever."""
+    key = "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold"
+    before = [(s, s.conf.get(key)) for s in sessions]
+    try:
+        for session in sessions:
+            session.conf.set(key, HASH_JOIN_PART)
+        yield
+    finally:
+        for session, value in reversed(before):
+            session.conf.set(key, value)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach, as named in ``spark.checkpoint.dir``.
 

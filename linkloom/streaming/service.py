@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linkloom.operators import sessions as N
-from linkloom.session import path_exists
+from linkloom.session import joining_by_hash, path_exists
 from linkloom.sources.snapshots import SnapshotTable
 from linkloom.streaming.messages import decode_types, decoded_of
 from linkloom.streaming.run import batch_name
@@ -23,8 +23,11 @@ KINDS = ["singup", "login", "current", "index"]
 def spread_messages(batch: DataFrame) -> DataFrame:
     """The messages of a batch over all tasks: a batch may come as one file, which one task reads.
 
-    They go by their whole content, so that ids that are missing or one busy type fill no task.
+    They go by their whole content, so that ids that are missing or one busy type fill no task. A batch with a split
+    for each core stays as it is.
     """
+    if batch.rdd.getNumPartitions() >= batch.sparkSession.sparkContext.defaultParallelism:
+        return batch
     return batch.repartition(F.xxhash64("message_id", "type", "body"))
 
 
@@ -32,7 +35,8 @@ class Service:
     """Users, tokens and crawl statistics with a folder of replies and accepted roots, (``out``).
 
     What a batch makes of its messages is written once, under the names of its query and number, before the
-    tables change. A batch that is run again finds it, applies what is missing and answers the same.
+    tables change. A batch that is run again finds it, applies what is missing and answers the same. A kind that has
+    no message in a batch costs nothing there: no table is read or written for it.
     """
 
     def __init__(self, users: SnapshotTable, tokens: SnapshotTable, stats: DataFrame, out: str):
@@ -43,14 +47,24 @@ class Service:
         fallback = uuid.uuid4().hex
 
         def handle(batch: DataFrame, number: int) -> None:
+            with joining_by_hash(self.users.spark, batch.sparkSession):
+                answer(batch, number)
+
+        def answer(batch: DataFrame, number: int) -> None:
             name = batch_name(batch, number, fallback)
             # decoded before it is kept: each step reads its messages several times
-            now, batch = N.moment(as_of), decode_types(spread_messages(batch), KINDS).persist()
+            answered = spread_messages(batch.filter(F.col("type").isin(KINDS)))
+            now, batch = N.moment(as_of), decode_types(answered, KINDS).persist()
             try:
-                self._sign_up(decoded_of(batch, "singup"), name, now, token)
-                self._log_in(decoded_of(batch, "login"), name, now, token)
-                self._current(decoded_of(batch, "current"), name, now)
-                self._index(decoded_of(batch, "index"), name, now)
+                came = {r["type"] for r in batch.select("type").distinct().collect()}  # of KINDS
+                if "singup" in came:
+                    self._sign_up(decoded_of(batch, "singup"), name, now, token)
+                if "login" in came:
+                    self._log_in(decoded_of(batch, "login"), name, now, token)
+                if "current" in came:
+                    self._current(decoded_of(batch, "current"), name, now)
+                if "index" in came:
+                    self._index(decoded_of(batch, "index"), name, now)
             finally:
                 batch.unpersist()
 
@@ -63,12 +77,14 @@ class Service:
         return self.users.spark.read.parquet(path)
 
     def _sign_up(self, asked: DataFrame, name: tuple[str, int], now: Column, token: Column | None) -> None:
-        signed = N.sign_up(asked, self.users.read(), now, token=token)
-        new_users = self._once("new-users", name, lambda: signed.new_users)
-        new_tokens = self._once("new-tokens", name, lambda: signed.new_tokens)
+        signed = N.sign_up(asked, self.users.read(), now, token=token, keep=lambda named: self._once("signed-up", name, lambda: named))
         self._once("signup", name, lambda: signed.outcomes.select("message_id", "status", "message"))
-        self.users.upsert(new_users, batch=name)
-        self.tokens.upsert(new_tokens, batch=(f"{name[0]}-signup", name[1]))
+        self.users.append(signed.new_users, batch=name)  # their ids follow the largest one
+        mark = (f"{name[0]}-signup", name[1])
+        if token is None:
+            self.tokens.append(signed.new_tokens, batch=mark)  # drawn, so not in the table
+        else:
+            self.tokens.upsert(signed.new_tokens, batch=mark)
 
     def _log_in(self, asked: DataFrame, name: tuple[str, int], now: Column, token: Column | None) -> None:
         mark = (f"{name[0]}-login", name[1])
@@ -85,7 +101,11 @@ class Service:
             "message_id", "status", "message", "id", "email", "name"))
 
     def _index(self, asked: DataFrame, name: tuple[str, int], now: Column) -> None:
-        self._once("index", name, lambda: N.index_requests(asked, self.tokens.read(), self.stats, now))
+        self._once("index", name, lambda: N.index_requests(asked, self._tokens_of(asked), self.stats, now))
+
+    def _tokens_of(self, asked: DataFrame) -> DataFrame:
+        """The tokens that requests give: what is made of them follows the batch, not the table."""
+        return self.tokens.read().join(asked.select("token").distinct(), "token", "left_semi")
 
     def replies(self, kind: str) -> DataFrame:
         """Outcomes of 'signup', 'login', 'current' or 'index' messages so far."""

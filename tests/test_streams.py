@@ -250,3 +250,82 @@ def test_a_batch_of_logins_writes_the_tokens_it_renews(spark, tmp_path):
     assert len(after) == tokens.read().count() == 41 and after[1] == ("t1", dt.datetime(2024, 5, 2)) and after[2] == ("t2", dt.datetime(2024, 5, 1))
     assert after[45][1] == dt.datetime(2024, 5, 2)
     assert {r["message_id"]: r["status"] for r in service.replies("login").collect()} == {1: "Ok", 2: "Ok", 3: "error", 4: "Ok"}
+
+
+def _empty_service(spark, tmp_path):
+    from linkloom.operators.schema import USER
+    from linkloom.streaming.service import Service
+    users, tokens = SnapshotTable(spark, str(tmp_path / "users"), USER), SnapshotTable(spark, str(tmp_path / "tokens"), TOKEN, ["token"])
+    now = F.lit(dt.datetime(2024, 5, 1)).cast("timestamp_ntz")
+    users.write(spark.range(50).select("id", F.concat(F.lit("u"), "id").alias("email"), F.lit("d").alias("password"),
+                                       F.lit("n").alias("name"), now.alias("created_date"), now.alias("last_login_date")))
+    tokens.write(spark.range(40).select(F.concat(F.lit("t"), "id").alias("token"), F.col("id").alias("user_id"), now.alias("expire_date"), "id"))
+    return Service(users, tokens, spark.createDataFrame([], "domain string, author_id long, time timestamp_ntz, pages_count long"), str(tmp_path / "out")), now
+
+
+def _bodies(spark, *rows):
+    return spark.createDataFrame(rows, "message_id long, type string, body string")
+
+
+def test_a_batch_of_sign_ups_writes_the_rows_it_adds(spark, tmp_path):
+    """Users and tokens that were there are not written again, a batch that is run again adds nothing, no password is written."""
+    import glob
+
+    import pyarrow.parquet as pq
+    service, now = _empty_service(spark, tmp_path)
+    handle = service.handler(now)
+    body = '{"email":"%s","password":"secret","name":"N"}'
+    first = _bodies(spark, (1, "singup", body % "a"), (1, "singup", body % "a"), (2, "singup", body % "u3"), (3, "singup", '{"email":"b"}'))
+    for _ in range(2):
+        handle(first, 0)
+    handle(_bodies(spark, (4, "singup", body % "b"), (5, "singup", body % "a")), 1)
+
+    def written(table, version):
+        return sum(pq.read_metadata(f).num_rows for f in glob.glob(f"{tmp_path}/{table}/?{version:010d}*/*.parquet"))
+
+    assert [written("users", v) for v in range(3)] == [50, 1, 1]
+    assert [written("tokens", v) for v in range(3)] == [40, 2, 1]  # two messages of one id, a token each, as before
+    assert service.users.versions() == [0, 1, 2]
+    assert {(r["id"], r["email"]) for r in service.users.read().filter("id >= 50").collect()} == {(50, "a"), (51, "b")}
+    assert service.users.read().count() == 52 and service.users.read(1).count() == 51 and service.users.read(0).count() == 50
+    assert sorted((r["message_id"], r["message"]) for r in service.replies("signup").collect() if r["message"]) == [
+        (2, "email is taken"), (3, "missing parameter"), (5, "email is taken")]
+    assert all("secret" not in str(pq.read_table(f).to_pylist()) for f in glob.glob(f"{tmp_path}/out/*/*/*.parquet"))
+
+
+def test_additions_are_merged_in_the_end(spark, tmp_path, monkeypatch):
+    from linkloom.sources import snapshots
+    monkeypatch.setattr(snapshots, "MOST_ADDITIONS", 2)
+    store = SnapshotTable(spark, str(tmp_path / "t"), TOKEN, ["token"])
+
+    def rows(*ids):
+        at = dt.datetime(2024, 1, 1)
+        return spark.createDataFrame([(f"t{i}", i, at, i) for i in ids], "token string, user_id long, expire_date timestamp_ntz, id long")
+
+    for i in range(5):
+        store.append(rows(i, i), ("q", i))
+        store.append(rows(i), ("q", i))  # the batch again
+    assert [n[0] for n in store._known().values()] == ["v", "a", "a", "v", "a"]
+    assert [store.read(v).count() for v in store.versions()] == [1, 2, 3, 4, 5]
+    store.upsert(rows(1, 9))
+    assert sorted(r["user_id"] for r in store.read().collect()) == [0, 1, 2, 3, 4, 9]
+
+
+def test_kinds_without_messages_cost_nothing(spark, tmp_path):
+    service, now = _empty_service(spark, tmp_path)
+    service.handler(now)(_bodies(spark, (1, "index", '{"domain":"d","token":"t3"}'), (2, "other", "{}"), (3, None, "{}")), 0)
+    assert [tuple(r) for r in service.replies("index").collect()] == [(1, "d", 3, "accepted")]
+    assert service.tokens.versions() == [0] and service.users.versions() == [0]  # nothing written again
+    assert [service.replies(k).count() for k in ("signup", "login", "current")] == [0, 0, 0]
+    key = "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold"
+    assert spark.conf.get(key) in ("0", "0b")  # as it was
+
+
+def test_batches_with_splits_enough_are_not_shuffled(spark):
+    from linkloom.streaming.service import spread_messages
+
+    def plan(parts):
+        rows = spark.range(400, numPartitions=parts).select(F.col("id").alias("message_id"), F.lit("index").alias("type"), F.lit("{}").alias("body"))
+        return spread_messages(rows)._jdf.queryExecution().logical().toString()
+
+    assert "Repartition" in plan(1) and "Repartition" not in plan(4)
