@@ -97,7 +97,7 @@ class Service:
 
     def _current(self, asked: DataFrame, name: tuple[str, int], now: Column) -> None:
         """Who a token belongs to, by the tables after the batch's sign-ups and logins."""
-        self._once("current", name, lambda: N.check_sessions(asked, self.tokens.read(), self.users.read(), now).select(
+        self._once("current", name, lambda: N.check_sessions(asked, self._tokens_of(asked), self.users.read(), now).select(
             "message_id", "status", "message", "id", "email", "name"))
 
     def _index(self, asked: DataFrame, name: tuple[str, int], now: Column) -> None:

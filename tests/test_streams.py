@@ -329,3 +329,17 @@ def test_batches_with_splits_enough_are_not_shuffled(spark):
         return spread_messages(rows)._jdf.queryExecution().logical().toString()
 
     assert "Repartition" in plan(1) and "Repartition" not in plan(4)
+
+
+def test_sessions_are_checked_against_the_tokens_asked_for(spark, tmp_path, monkeypatch):
+    """What is grouped, joined with users and shuffled again follows the batch, not the table."""
+    from linkloom.operators import sessions as N
+    service, now = _empty_service(spark, tmp_path)
+    seen, check = [], N.check_sessions
+    monkeypatch.setattr(N, "check_sessions", lambda asked, tokens, *rest: (seen.append(tokens.count()), check(asked, tokens, *rest))[1])
+    body = '{"token":"%s"}'
+    service.handler(F.lit(dt.datetime(2024, 4, 30)).cast("timestamp_ntz"))(
+        _bodies(spark, (1, "current", body % "t3"), (2, "current", body % "t3"), (3, "current", body % "t99"), (4, "current", '{"token":null}')), 0)
+    assert seen == [1]
+    assert sorted((r["message_id"], r["message"], r["id"], r["email"]) for r in service.replies("current").collect()) == [
+        (1, None, 3, "u3"), (2, None, 3, "u3"), (3, "token is not valid", None, None), (4, "forbidden", None, None)]
